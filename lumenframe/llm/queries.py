@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, mixing, packing, urlrules
+from . import exact, jaccard, langid, licenses, mixing, packing, pages, quality, secrets, urlrules
 
 URL_RULES = ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")
 
@@ -26,6 +26,32 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "size", F.col("source_sizes")[0].alias("source_size"), F.col("targets")[0].alias("target"), "taken")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = secrets.BASE_RULES + secrets.MORE_RULES
+    base = [k for k, r in enumerate(rules) if r.base]
+    rows = secrets.scan(_table(spark, sf_dir, "documents"), rules)
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["rule"] == k)).cast("long").alias(f"n_{rules[k].kind}") for k in base]
+    own = F.filter("spans", lambda s: s["rule"].isin(base))
+    return rows.select(
+        F.col("id").alias("doc_id"), *counts, F.sha2(secrets.joined_spans(own, rules), 256).alias("base_sha256"), secrets.joined_spans(F.col("spans"), rules).alias("spans")
+    )
+
+
+def _held_out(id_col: str = "doc_id"):  # noqa: ANN202
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs, only=~_held_out())
+    rows = langid.identify(docs.select("doc_id", "text", _held_out().alias("held_out")), model)
+    return rows.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(_table(spark, sf_dir, "pages")).select(F.col("id").alias("page_id"), "url", "text", "n_chars")
+
+
 def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path()).withColumnRenamed("id", "doc_id")
 
@@ -41,7 +67,29 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.match_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op5_pack_sequences, op6_exact_dedup, op7_url_rules)}
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = jaccard.near_duplicates(_table(spark, sf_dir, "documents"), k=3, least_percent=90)
+    return rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licenses.scan(_table(spark, sf_dir, "documents"))
+    said = F.transform("licences", lambda x: F.concat_ws(":", x["licence"], x["start"].cast("string"), x["end"].cast("string")))
+    return rows.select(F.col("id").alias("doc_id"), F.size("licences").cast("long").alias("n_licences"), F.array_join(said, ",").alias("licences"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = quality.trusted_ids(_table(spark, sf_dir, "labels"), (F.col("quality") == 1) & (F.col("toxic") == 0))
+    return quality.judge(_table(spark, sf_dir, "documents"), trusted).withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mix_sources, op2_secret_scan, op3_language_id, op4_main_text, op5_pack_sequences,
+        op6_exact_dedup, op7_url_rules, op8_ngram_jaccard, op9_license_scan, op10_quality,
+    )
+}
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 
