@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +72,23 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, which may run where it isn't installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="lumenframe-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
+
+
 # --------------------------------------------------------------------------- Arrow batches
 
 

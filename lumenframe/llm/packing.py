@@ -2,24 +2,33 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import chunks, stored
+from .common import chunks, ship, stored
 
-#: Words whose ids a worker remembers; it starts anew beyond that.
-MAX_WORDS = 300_000
+#: Pieces of text whose ids a worker remembers; it starts anew beyond that.
+MAX_PIECES = 400_000
 
-_WORD = regex.compile(r"[^\x20\x09-\x0D]+")
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_LETTERS = "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+_LATIN = re.compile(rf"[{_LETTERS}]+")
+_MARKS = r"!-&(-/:-@\[-`{-~"
+#: Where white space, runs of Latin letters, of ASCII marks without the apostrophe and of digits
+#: meet, this tokenizer always ends a token. Anything else stays whole up to white space.
+_PIECE = re.compile(
+    rf"[{_LETTERS}]+(?=[\x20\x09-\x0D0-9{_MARKS}]|\Z)|[{_MARKS}]+(?=[\x20\x09-\x0D0-9{_LETTERS}]|\Z)|[0-9]+(?=[\x20\x09-\x0D{_MARKS}{_LETTERS}]|\Z)|[^\x20\x09-\x0D]+"
+)
 
 
 # --------------------------------------------------------------------------- the plan
@@ -98,6 +107,8 @@ class Layout:
         self.capacity = capacity
         full = [p for p in patterns if p.total == capacity]
         short = [p for p in patterns if p.total < capacity]
+        #: Lengths in windows with slack, which may be cut; no others are.
+        self.cut_lengths = sorted({n for p in short for n, _ in p.counts})
         self.full_windows = sum(p.times for p in full)
         rows: dict[int, list[tuple[int, int, int, int, int, int]]] = {}
         used: dict[int, int] = {}
@@ -153,37 +164,66 @@ class Layout:
 # --------------------------------------------------------------------------- tokens
 
 
-class TokenBytes(dict):
-    """word -> its ids as little-endian unsigned 32-bit integers."""
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level model: itself if it can be printed."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + rest.index(b)) for b in range(256)]
+
+
+class TokenBytes:
+    """``ids``: piece -> its ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        self.ids: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
-
-    def learn(self, words: list[str]) -> None:
-        new = list(set(words).difference(self))
-        if len(self) + len(new) > MAX_WORDS:
-            self.clear()
-            new = list(set(words))
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self[w] = np.array(e.ids, dtype="<u4").tobytes()
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.digits = {c: self._whole(c) for c in "0123456789"}
+
+    def _whole(self, piece: str) -> bytes:
+        return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def _ids(self, piece: str) -> bytes:
+        if piece.isascii():
+            if piece.isdigit():
+                return b"".join(map(self.digits.__getitem__, piece))
+            if piece.isalpha() and piece.islower():  # one word, as the model itself sees it
+                return array("I", [x.id for x in self.model.tokenize(piece)]).tobytes()
+        elif _LATIN.fullmatch(piece):
+            word = "".join(map(self.letters.__getitem__, piece.lower().encode()))
+            return array("I", [x.id for x in self.model.tokenize(word)]).tobytes()
+        return self._whole(piece)
+
+    def learn(self, pieces: set[str]) -> None:
+        new = [x for x in pieces if x not in self.ids]
+        if len(self.ids) + len(new) > MAX_PIECES:
+            self.ids.clear()
+            new = list(pieces)
+        for x in new:
+            self.ids[x] = self._ids(x)
 
 
 _LOADED: dict[str, TokenBytes] = {}
 
 
-def encode(texts: list[str | None], path: str, end_id: int) -> Iterator[bytes]:
-    """The ids of each text, then ``end_id``, as little-endian unsigned 32-bit integers.
+def pieces_of(text: str) -> list[str]:
+    """Parts of a text whose ids, put together, are the text's; A-Z as a-z."""
+    if "<|" in text:  # may name a special token
+        return _WORD.findall(text)
+    return _PIECE.findall(text.lower() if text.isascii() else text.encode().lower().decode())
 
-    White space always ends a token of this tokenizer, so a text's ids are those of its words.
-    """
+
+def encode(texts: list[str | None], path: str, end_id: int) -> Iterator[bytes]:
+    """The ids of each text, then ``end_id``, as little-endian unsigned 32-bit integers."""
     known = _LOADED.get(path) or _LOADED.setdefault(path, TokenBytes(path))
     end = np.array([end_id], dtype="<u4").tobytes()
-    split = [_WORD.findall(t) if t else [] for t in texts]
-    known.learn([w for words in split for w in words])
-    for words in split:
-        yield b"".join(map(known.__getitem__, words)) + end
+    split = [pieces_of(t) if t else [] for t in texts]
+    known.learn(set().union(*split))
+    for pieces in split:
+        yield b"".join(map(known.ids.__getitem__, pieces)) + end
 
 
 def pack(
@@ -207,6 +247,7 @@ def pack(
     An empty table gives an empty result. ``tokenizer_path`` must exist on the executors.
     ``capacity`` must be a power of two, at most 2**16 ids of under 2**16.
     """
+    ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     schema = T.StructType(
         [T.StructField("id", kind)]
@@ -262,12 +303,15 @@ def pack(
 
     placed = small.select(*schema.names[:7], "rank").mapInArrow(place, out_schema)
     whole = placed.where("size = length")
+    names = ["id", "start", F.col("size").alias("length"), "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    if not layout.cut_lengths:
+        return whole.select(*names)
+    kept = pieces.where(F.col("length").isin(layout.cut_lengths)).select("part", "nth", "length", "ids")
     crc = F.crc32(_wide(F.expr("substring(ids, cast(2 * from + 1 as int), cast(2 * size as int))")))
     cut = (
-        placed.where("size < length").drop("ids_crc32").join(pieces.where(F.col("ids").isNotNull()).select("part", "nth", "length", "ids"), ["part", "nth", "length"])
+        placed.where("size < length").drop("ids_crc32").join(kept, ["part", "nth", "length"])
         .withColumn("ids_crc32", crc).withColumn("start", F.col("start") + F.col("from"))
     )
-    names = ["id", "start", F.col("size").alias("length"), "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     return whole.select(*names).unionByName(cut.select(*names))
 
 
