@@ -42,8 +42,7 @@ def merge_runs(rows: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     Rounds of a tree: round k merges ``fan_in`` neighbouring runs. Within a round Spark sorts
     each run by (run, digest) and merges equal digests before and after the exchange, so at
     every level only one row per digest and run moves on. A digest counts as equal only
-    together with ``proof``, checked at each level. Returns digest, proof, best, copies, ties;
-    ``ties`` counts the rows that equal the winner in length and id.
+    together with ``proof``, checked at each level. Returns digest, proof, best, copies.
     """
     best = F.struct((-F.col("chars")).alias("less"), F.col("id").isNull().alias("none"), F.col("id").alias("id"))
     runs = rows.agg(F.max("run")).first()[0] or 0

@@ -8,16 +8,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, checkpointed, chunks, mixed, stored, utf8
+from .common import Words, checkpointed, chunks, ship, stored, utf8
 from .components import connected
 
 #: Buckets of the frequency sketch that orders n-grams from rare to common. Its size is fixed;
 #: collisions change only how well the order separates rare from common, never the result.
-SKETCH_BITS = 20
+SKETCH_BITS = 18
 _SLICE = 1 << 14
 #: Bits of the fixed-size filters that stand for sets of keys; false hits are removed by a join.
 FILTER_BITS = 26
@@ -25,7 +25,9 @@ FILTER_BITS = 26
 STAR_ROUNDS = 2
 #: Rows of a prefix n-gram that one task compares with as many others.
 BLOCK = 256
-_PARTS = 64
+#: The suffix filter counts a set's n-grams by parts of the hash range: about one part for this
+#: many n-grams, between the two limits.
+_PER_PART, _LEAST_PARTS, _MOST_PARTS = 4, 32, 1 << 15
 
 
 @dataclass(frozen=True)
@@ -113,30 +115,46 @@ def _digest(s: np.ndarray) -> bytes:
 
 
 def profiles(docs: DataFrame, k: int, like: Likeness, ranks: np.ndarray, id_col: str, text_col: str) -> DataFrame:
-    """One row per document: id, text_key, n (size of its set), digest of the set, prefix (its
-    rarest n-grams, in order; only at a set's first document in a task, else null)."""
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("text_key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("prefix", T.ArrayType(T.LongType()))])
+    """One row per document: id, text_key, row_key and row_proof (hashes of id and text), n (size
+    of its set), digest of the set; and, at a set's first document in a task, prefix (its rarest
+    n-grams, in order) and parts (their counts by part of the hash range)."""
+    keys = ["text_key", "row_key", "row_proof"]
+    schema = T.StructType(
+        [T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(k, T.LongType()) for k in [*keys, "n"]), T.StructField("digest", T.BinaryType())]
+        + [T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("parts", T.BinaryType())]
+    )
 
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for b in chunks(batches, "text"):
-            n, digest, prefix = [], [], []
+            n, digest, prefix, parts = [], [], [], []
             for s in _sets(b.column("text"), k):
                 d = _digest(s)
                 n.append(len(s))
                 digest.append(d)
                 if len(s) == 0 or d in seen:
                     prefix.append(None)
+                    parts.append(None)
                     continue
                 if len(seen) < 1_000_000:
                     seen.add(d)
                 order = np.argsort(sent.value[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
                 prefix.append(s[order[: like.prefix(len(s))]].view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text_key"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))], names=schema.names)
+                parts.append(_counts(s))
+            made = [pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(prefix, pa.list_(pa.int64())), pa.array(parts, pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in ["id", *keys]] + made, names=schema.names)
+
+    text = F.col(text_col)
+    return docs.select(
+        F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), *row_keys(id_col, text_col, *keys[1:]), text.alias("text")
+    ).mapInArrow(run, schema)
 
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+
+def row_keys(id_col: str, text_col: str, key: str, proof: str) -> list[Column]:
+    """Two hashes that tell rows apart by id and text."""
+    return [F.xxhash64(id_col, text_col).alias(key), F.xxhash64(text_col, F.lit(1), id_col).alias(proof)]
 
 
 def shared_prefixes(sets: DataFrame) -> DataFrame:
@@ -163,8 +181,11 @@ def shared_prefixes(sets: DataFrame) -> DataFrame:
     return sets.select("digest", "n", "prefix").mapInArrow(run, schema).join(again.select("token"), "token", "left_semi")
 
 
-def candidate_sets(docs: DataFrame, keys: DataFrame, k: int, text_col: str) -> DataFrame:
-    """(digest, grams) of the texts whose key is among ``keys``: grams as sorted 64-bit integers."""
+def wanted_sets(docs: DataFrame, keys: DataFrame, k: int, text_col: str) -> DataFrame:
+    """(digest, grams) of the texts whose key is among ``keys``: grams as sorted 64-bit integers.
+
+    The keys are sent as a filter of fixed size; what passes it by chance does no harm.
+    """
     bits = docs.sparkSession.sparkContext.broadcast(key_filter(keys, "text_key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,43 +200,70 @@ def candidate_sets(docs: DataFrame, keys: DataFrame, k: int, text_col: str) -> D
                     take.append(i)
             for c in chunks(iter([b.take(pa.array(take, pa.int64()))]), "text"):
                 sets = _sets(c.column("text"), k)
-                yield pa.RecordBatch.from_arrays([c.column("text_key"), pa.array([_digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["text_key", "digest", "grams"])
+                yield pa.RecordBatch.from_arrays([pa.array([_digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["digest", "grams"])
 
-    rows = docs.select(F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")).mapInArrow(run, "text_key long, digest binary, grams binary")
-    return rows.join(keys, "text_key", "left_semi").drop("text_key").dropDuplicates(["digest"])
+    rows = docs.select(F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")).mapInArrow(run, "digest binary, grams binary")
+    return rows.dropDuplicates(["digest"])
 
 
 # --------------------------------------------------------------------------- verification
 
 
-def _histogram(s: np.ndarray) -> np.ndarray:
-    return np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=_PARTS)
+def _counts(s: np.ndarray) -> bytes:
+    """Counts of n-grams by part of the hash range, a byte each; 255 stands for any greater one."""
+    size = 1 << max(len(s) // _PER_PART, 1).bit_length()
+    size = min(max(size, _LEAST_PARTS), _MOST_PARTS)
+    at = (s >> np.uint64(65 - size.bit_length())).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=size), 255).astype(np.uint8).tobytes()
+
+
+def _most(a: np.ndarray, b: np.ndarray) -> int:
+    """The largest intersection that the counts of two sets allow; the finer ones are added up."""
+    a, b = a.astype(np.int64), b.astype(np.int64)
+    a[a == 255], b[b == 255] = 1 << 40, 1 << 40
+    if len(a) != len(b):
+        n = min(len(a), len(b))
+        a, b = a.reshape(n, -1).sum(axis=1), b.reshape(n, -1).sum(axis=1)
+    return int(np.minimum(a, b).sum())
 
 
 def _intersection(a: np.ndarray, b: np.ndarray) -> int:
     if len(a) > len(b):
         a, b = b, a
+    if not len(a):
+        return 0
     at = np.searchsorted(b, a)
     at[at == len(b)] = 0
     return int((b[at] == a).sum())
 
 
-def _linked(a: np.ndarray, b: np.ndarray, like: Likeness) -> bool:
-    need = like.overlap(len(a), len(b))
-    if min(len(a), len(b)) < need or np.minimum(_histogram(a), _histogram(b)).sum() < need:  # suffix filter
-        return False
-    return _intersection(a, b) >= need
+def suffix_filtered(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+    """The pairs (a, b) of digests whose counts by part allow a link."""
+    a, b = (sets.select(F.col("digest").alias(x), F.col("n").alias(f"n{x}"), F.col("parts").alias(f"p{x}")) for x in "ab")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            need = like.overlap(batch.column("na").to_numpy(), batch.column("nb").to_numpy())
+            sides = zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist(), need, strict=True)
+            ok = [_most(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) >= m for x, y, m in sides]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a binary, b binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
-    """The pairs (a, b) of digests whose sets link."""
-    left, right = sets.select(F.col("digest").alias("a"), F.col("grams").alias("ga")), sets.select(F.col("digest").alias("b"), F.col("grams").alias("gb"))
+def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, text_col: str, like: Likeness) -> DataFrame:
+    """The pairs (a, b) of digests whose sets link; only the texts of these pairs are read anew."""
+    pairs = checkpointed(suffix_filtered(pairs, sets, like))
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
+    grams = wanted_sets(docs, sets.select("digest", "text_key").join(needed, "digest", "left_semi").select("text_key"), k, text_col)
+    left, right = grams.select(F.col("digest").alias("a"), F.col("grams").alias("ga")), grams.select(F.col("digest").alias("b"), F.col("grams").alias("gb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for i in range(0, whole.num_rows, 512):
                 b = whole.slice(i, 512)
-                ok = [_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), like) for x, y in zip(b.column("ga").to_pylist(), b.column("gb").to_pylist(), strict=True)]
+                sides = [(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(b.column("ga").to_pylist(), b.column("gb").to_pylist(), strict=True)]
+                ok = [_intersection(x, y) >= like.overlap(len(x), len(y)) for x, y in sides]
                 yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ga", "gb").mapInArrow(run, "a binary, b binary")
@@ -233,29 +281,24 @@ def _star_pairs(rows: DataFrame, like: Likeness, turn: int) -> DataFrame:
     return near.select(F.least("digest", "c.digest").alias("a"), F.greatest("digest", "c.digest").alias("b")).distinct()
 
 
-def _block_links(rows: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
-    """All links between sets of one token but different classes, compared inside tasks.
+def _block_pairs(rows: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+    """Distinct pairs of sets of one token but different classes that pass all filters.
 
-    A token's rows are dealt into blocks of about BLOCK rows, and each pair of blocks is a task's
-    group; a row goes to as many groups as its token has blocks. A pair of sets is verified only
-    at the first token that both have, and not if it is connected by then.
+    A token's rows are dealt into blocks of about BLOCK rows, and each pair of blocks is a
+    group; a row goes to as many groups as its token has blocks. Only tokens whose sets aren't
+    all connected by now are taken.
     """
     open_ = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     open_ = open_.select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    tokens = rows.groupBy("digest").agg(F.sort_array(F.collect_set("token")).alias("tokens"))  # as many as its prefix at most
     here = rows.join(open_, "token").withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     dealt = here.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "n", "pos", "root"
     )
-    full = dealt.join(tokens, "digest").join(sets, "digest")
 
     def run(key, table):  # noqa: ANN001, ANN202
-        token, i, j = key[0].as_py(), key[1].as_py(), key[2].as_py()
-        n, pos = table["n"].to_numpy(), table["pos"].to_numpy()
-        own, digests, roots = table["own"].to_numpy(), table["digest"].to_pylist(), table["root"].to_pylist()
-        grams = [np.frombuffer(x, np.uint64) for x in table["grams"].to_pylist()]
-        hist = np.stack([_histogram(g) for g in grams])
-        lists = [set(x) for x in table["tokens"].to_pylist()]
+        i, j = key[1].as_py(), key[2].as_py()
+        n, pos, own = table["n"].to_numpy(), table["pos"].to_numpy(), table["own"].to_numpy()
+        digests, roots = table["digest"].to_pylist(), table["root"].to_pylist()
         label = {r: x for x, r in enumerate(dict.fromkeys(roots))}
         group = np.array([label[r] for r in roots])
         a, b = [], []
@@ -266,23 +309,17 @@ def _block_links(rows: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
                 ok &= own != own[x]
             need = like.overlap(n[x], n)
             ok &= np.minimum(n, n[x]) >= need
-            ok &= np.minimum(pos, pos[x]) + 1 + np.minimum(n - pos, n[x] - pos[x]) - 1 >= need
-            at = np.flatnonzero(ok)
-            at = at[np.minimum(hist[at], hist[x]).sum(axis=1) >= need[at]]
-            for y in at:
-                if group[y] == group[x] or min(lists[x] & lists[y]) != token:
-                    continue
-                if _intersection(grams[x], grams[y]) >= need[y]:
-                    a.append(digests[x])
-                    b.append(digests[y])
-                    group[group == group[y]] = group[x]
+            ok &= np.minimum(pos, pos[x]) + np.minimum(n - pos, n[x] - pos[x]) >= need
+            for y in np.flatnonzero(ok):
+                a.append(min(digests[x], digests[y]))
+                b.append(max(digests[x], digests[y]))
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
-    return full.groupBy("token", "i", "j").applyInArrow(run, "a binary, b binary")
+    return dealt.groupBy("token", "i", "j").applyInArrow(run, "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: id, text_key, n (size of its n-gram set), root, component_id.
+    """Per row of ``docs``: id, row_key, row_proof, n (size of its n-gram set), root, component_id.
 
     Two sets link when 100 * intersection >= least_percent * union; component_id is the smallest
     id that links reach, the document itself included. Words are runs of other characters than
@@ -297,39 +334,71 @@ def near_duplicates(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col
     compared with one of them (rows grow with the key's size, not its square), then what is
     still unconnected is compared block by block.
     """
+    ship(docs.sparkSession)
     like = Likeness(least_percent)
     rows = stored(profiles(docs, k, like, rarity(docs, k, text_col), id_col, text_col), "profiles")
-    sets = rows.where("prefix is not null").groupBy("digest").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min("text_key").alias("text_key"))
+    first = [F.first(c).alias(c) for c in ("n", "prefix", "parts")]
+    sets = stored(rows.where("prefix is not null").groupBy("digest").agg(*first, F.min("text_key").alias("text_key")), "sets")
     shared = checkpointed(shared_prefixes(sets))
-    wanted = shared.select("digest").distinct()
-    keys = checkpointed(rows.where("prefix is not null").join(wanted, "digest", "left_semi").groupBy("digest").agg(F.min("text_key").alias("text_key")).select("text_key").distinct())
-    grams = stored(candidate_sets(docs, keys, k, text_col).join(wanted, "digest", "left_semi"), "grams")
     links, roots = None, None
     for turn in range(STAR_ROUNDS):
-        now = _with_roots(shared, roots)
-        found = checkpointed(verified(_star_pairs(now, like, turn), grams, like))
+        found = checkpointed(verified(_star_pairs(_with_roots(shared, roots), like, turn), sets, docs, k, text_col, like))
         links = found if links is None else links.unionByName(found)
         roots = checkpointed(connected(links))
-    links = links.unionByName(_block_links(_with_roots(shared, roots), grams, like))
+    links = links.unionByName(verified(_block_pairs(_with_roots(shared, roots), sets, like), sets, docs, k, text_col, like))
     roots = connected(links)
     least = rows.groupBy("digest").agg(F.min("id").alias("least"))
     by_root = least.join(roots, least["digest"] == roots["node"], "left").select("digest", "least", F.coalesce("root", "digest").alias("root"))
     smallest = by_root.groupBy("root").agg(F.min("least").alias("component_id"))
     named = by_root.join(smallest, "root").select("digest", "root", "component_id")
-    out = rows.select("id", "text_key", "n", "digest").join(named, "digest")
-    return out.select("id", "text_key", "n", "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    out = rows.select("id", "row_key", "row_proof", "n", "digest").join(named, "digest")
+    return out.select("id", "row_key", "row_proof", "n", "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+
+
+def _with_roots(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:
+        return shared.withColumn("root", F.col("digest"))
+    return shared.join(roots, shared["digest"] == roots["node"], "left").select(*shared.columns, F.coalesce("root", "digest").alias("root"))
+
+
+def keep_smallest(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the smallest id of each component, with all their columns.
+
+    Of rows that repeat with that id, one stays; documents without words all stay. Rows are told
+    apart by two hashes of id and text.
+    """
+    keys = ["row_key", "row_proof"]
+    found = checkpointed(near_duplicates(docs, k, least_percent, id_col, text_col).where("n > 0"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", *keys)).alias("x")
+    best = checkpointed(found.groupBy("root").agg(first).select("x.row_key", "x.row_proof"))
+    # most rows are the only one of their component: those outside this filter of fixed size stay
+    # without moving; the others are looked up among the best
+    gone = found.join(best, keys, "left_anti").select("row_key").unionByName(found.groupBy(*keys).count().where("count > 1").select("row_key"))
+    bits = docs.sparkSession.sparkContext.broadcast(key_filter(gone.distinct(), "row_key"))
+
+    @F.pandas_udf("boolean")
+    def suspect(x):  # noqa: ANN001, ANN202
+        import pandas as pd
+
+        return pd.Series(_passes(np.frombuffer(bits.value, np.uint8), x.to_numpy()))
+
+    worded = F.coalesce(F.rlike(text_col, F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    own = docs.withColumns(dict(zip(("__row_key", "__row_proof"), row_keys(id_col, text_col, *keys), strict=True))).withColumn("__look", worded & suspect("__row_key"))
+    looked = own.where("__look").join(best.toDF("__row_key", "__row_proof"), ["__row_key", "__row_proof"]).dropDuplicates(["__row_key", "__row_proof"])
+    return own.where("not __look").select(*docs.columns).unionByName(looked.select(*docs.columns))
 
 
 def _with_roots(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
     if roots is None:
         return shared.withColumn("root", F.col("digest"))
-    return shared.join(roots, shared["digest"] == roots["node"], "left").select("token", "digest", "n", "pos", F.coalesce("root", "digest").alias("root"))
+    return shared.join(roots, shared["digest"] == roots["node"], "left").select(*shared.columns, F.coalesce("root", "digest").alias("root"))
 
 
 def keep_smallest(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with the smallest id of each component, with all their columns.
 
-    Of rows that repeat with that id, one stays; documents without words all stay.
+    Of rows that repeat with that id, one stays; documents without words all stay. Rows are told
+    apart by two hashes of id and text.
     """
     found = near_duplicates(docs, k, least_percent, id_col, text_col).where("n > 0")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key")).alias("x")
@@ -343,13 +412,14 @@ def keep_smallest(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col:
 def _with_roots(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
     if roots is None:
         return shared.withColumn("root", F.col("digest"))
-    return shared.join(roots, shared["digest"] == roots["node"], "left").select("token", "digest", "n", "pos", F.coalesce("root", "digest").alias("root"))
+    return shared.join(roots, shared["digest"] == roots["node"], "left").select(*shared.columns, F.coalesce("root", "digest").alias("root"))
 
 
 def keep_smallest(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with the smallest id of each component, with all their columns.
 
-    Of rows that repeat with that id, one stays; documents without words all stay.
+    Of rows that repeat with that id, one stays; documents without words all stay. Rows are told
+    apart by two hashes of id and text.
     """
     found = near_duplicates(docs, k, least_percent, id_col, text_col)
     best = found.where("n > 0 and id <=> component_id").select(F.col("id").alias("__id"), F.col("text_key").alias("__key")).distinct()

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, utf8
+from .common import chunks, ship, utf8
 
 #: Labelled texts that training takes at most, over all languages and for each.
 MAX_TEXTS = 4000
@@ -210,6 +210,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
     model get ``und`` and 0. Equal scores go to the first language by code point. Rows repeat as
     in ``docs``; nothing moves between tasks.
     """
+    ship(docs.sparkSession)
     rows = docs.drop("lang_pred", "score")
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     made: list[Scorer] = []

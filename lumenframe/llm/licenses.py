@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks
+from .common import chunks, ship
 
 #: Known sentences of public licences, as published.
 SENTENCES = {
@@ -137,6 +137,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", senten
     Null and empty texts have none. Rows repeat as in ``docs``; extra columns are not read;
     nothing moves between tasks.
     """
+    ship(docs.sparkSession)
     found_type = T.ArrayType(T.StructType([T.StructField("licence", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("licences", found_type)])
     arrow = pa.list_(pa.struct([("licence", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))

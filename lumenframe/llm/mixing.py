@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import Words, checkpointed, chunks, utf8
+from .common import Words, checkpointed, chunks, ship, utf8
 
 #: Distinct membership patterns that the flow on the driver takes; more raise an error.
 MAX_PATTERNS = 100_000
@@ -131,6 +131,7 @@ def word_sizes(docs: DataFrame, id_col: str, members: Column, text_col: str, see
             n = Words(*utf8(b.column("text"))).counts
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("members"), b.column("h"), pa.array(n, pa.int64())], names=["id", "members", "h", "size"])
 
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), members.alias("members"), F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("h"), F.col(text_col).alias("text"))
     return rows.mapInArrow(count, schema)
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, chunks
+from .common import checkpointed, chunks, ship
 from .urlrules import host_of, path_of
 
 # --------------------------------------------------------------------------- blocks of a page
@@ -206,6 +206,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     ends of each task's range (two a task) are sent to their neighbours. The pages then meet
     their list of shared lines by an equality join on a hash of the row.
     """
+    ship(pages.sparkSession)
     kind = pages.schema[id_col].dataType
     key = F.xxhash64(id_col, url_col, html_col)
     src = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), key.alias("key"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, chunks, mixed, utf8
+from .common import Words, chunks, mixed, ship, utf8
 
 #: Buckets that words and word pairs are hashed to.
 BUCKETS = 1 << 16
@@ -105,6 +105,7 @@ def corpus_counts(docs: DataFrame, trusted: list, id_col: str = "doc_id", text_c
     Each task counts its whole partition and gives BUCKETS rows at most; their sums by bucket
     are BUCKETS rows, whatever the size of the corpus.
     """
+    ship(docs.sparkSession)
     ids = set(trusted)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

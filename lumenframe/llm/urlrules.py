@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_right
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
+
 #: Rules that may be sent to every task; with more, ``match_urls`` joins by host instead.
 MAX_SENT_RULES = 200_000
 
@@ -131,6 +130,7 @@ def match_urls(pages: DataFrame, rules: list[Rule] | DataFrame, url_col: str = "
         if len(got) > MAX_SENT_RULES:
             return _joined(pages, rules, names, default)
         rules = [Rule(r.verdict, r.host, r.path) for r in got]
+    ship(pages.sparkSession)
     sweep, host, path = Sweep(rules), names["host"], names["path"]
 
     @F.pandas_udf("struct<rule string, verdict string>")
