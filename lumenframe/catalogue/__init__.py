@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
+from . import aggregates, basics, clauses, expressions, interchange, joins, nested, relations, reports, scalars, sinks, timeseries, windows  # noqa: F401
 from .registry import ORACLES, QUERIES, register
-from . import basics
 
 __all__ = ["ORACLES", "QUERIES", "register"]

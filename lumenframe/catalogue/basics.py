@@ -10,7 +10,7 @@ from .registry import register, table
 
 @register("""
     SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice), 2) AS sum_base_price,
-           round(sum(l_extendedprice * (1 - l_discount)), 2) AS sum_disc_price, round(avg(l_discount), 6) AS avg_disc, count(*) AS count_order
+           CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS sum_disc_price, round(avg(l_discount), 6) AS avg_disc, count(*) AS count_order
     FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY ALL ORDER BY ALL""")
 def pricing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") <= F.lit("1998-09-02").cast("timestamp"))
@@ -19,7 +19,7 @@ def pricing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.sum("l_quantity").alias("sum_qty"),
             F.round(F.sum("l_extendedprice"), 2).alias("sum_base_price"),
-            F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("sum_disc_price"),
+            F.sum((F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")).cast("double").alias("sum_disc_price"),
             F.round(F.avg("l_discount"), 6).alias("avg_disc"),
             F.count("*").alias("count_order"),
         )

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..relation import Relation
+from ..session import Connection
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def register(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
@@ -27,5 +31,27 @@ def register(sql: str | None = None, name: str | None = None) -> Callable[[Query
     return put
 
 
+def both(name: str, sql: str, oracle: str | None = None) -> None:
+    """Register SQL of the relational dialect, run through a connection; its twin is the same text
+    or ``oracle``."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return connection(spark, sf_dir).sql(sql).dataframe
+
+    run.__name__ = name
+    register(oracle or sql, name)(run)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def rel(spark: SparkSession, sf_dir: str, name: str) -> Relation:
+    return Relation(table(spark, sf_dir, name), name)
+
+
+def connection(spark: SparkSession, sf_dir: str) -> Connection:
+    """A connection in which the tables of ``sf_dir`` are views."""
+    for name in TABLES:
+        table(spark, sf_dir, name).createOrReplaceTempView(name)
+    return Connection(spark)

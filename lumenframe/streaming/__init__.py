@@ -34,7 +34,7 @@ def sessions(df: DataFrame, ts: str, gap: str, by: list[str], aggs: list[Column]
 
 def _names(aggs: list[Column]) -> Iterator[str]:
     for a in aggs:
-        yield a._jc.named().name() if hasattr(a, "_jc") and hasattr(a._jc, "named") else str(a).split(" AS ")[-1].rstrip("'>")
+        yield str(a).split(" AS ")[-1].rstrip("'>")
 
 
 def deduplicated(df: DataFrame, ts: str, keys: list[str], late: str) -> DataFrame:
