@@ -337,9 +337,10 @@ class Relation:
         return list(itertools.islice(self._iterate(), size))
 
     def fetchall(self) -> list[tuple]:
+        """What is left of the rows; the next call starts anew."""
         if self._rows is not None:
-            return list(self._iterate())
-        self._rows = iter(())
+            left, self._rows = list(self._rows), None
+            return left
         return [tuple(r) for r in self.dataframe.collect()]
 
     def fetchnumpy(self) -> dict[str, np.ndarray]:
