@@ -78,10 +78,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that exact deduplication keeps, with all their columns."""
     rows = checkpointed(digests(docs, id_col, text_col))
-    best = merge_runs(rows)
-    winners = best.select(F.col("digest").alias("__digest"), F.col("proof").alias("__proof"), F.col("best").alias("__best"))
-    own = docs.withColumns(
-        {"__digest": F.unhex(F.sha2(normalised(F.col(text_col)), 256)), "__proof": F.xxhash64(normalised(F.col(text_col)))}
-    )
-    won = F.col(id_col).eqNullSafe(F.col("__best.id")) & (F.coalesce(F.length(text_col), F.lit(0)) == -F.col("__best.less"))
-    return own.join(winners, ["__digest", "__proof"]).where(won).dropDuplicates(["__digest", "__proof"]).select(*docs.columns)
+    row = lambda id_, chars: F.xxhash64("__digest", "__proof", chars, id_)  # noqa: E731  tells the rows of a digest apart
+    best = merge_runs(rows).select(F.col("digest").alias("__digest"), F.col("proof").alias("__proof"), "best.*")
+    winners = best.select("__digest", row(F.col("id"), -F.col("less")).alias("__row"))
+    norm = normalised(F.col(text_col))
+    # never null, so that the join adds no test that would digest each text once more
+    own = docs.withColumns({"__digest": F.coalesce(F.unhex(F.sha2(norm, 256)), F.lit(b"")), "__proof": F.xxhash64(norm)})
+    own = own.withColumn("__row", row(F.col(id_col), F.coalesce(F.length(text_col), F.lit(0)).cast("long")))
+    return own.join(winners, ["__digest", "__row"]).dropDuplicates(["__digest", "__row"]).select(*docs.columns)

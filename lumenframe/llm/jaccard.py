@@ -281,8 +281,8 @@ def _star_pairs(rows: DataFrame, like: Likeness, turn: int) -> DataFrame:
     return near.select(F.least("digest", "c.digest").alias("a"), F.greatest("digest", "c.digest").alias("b")).distinct()
 
 
-def _block_pairs(rows: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
-    """Distinct pairs of sets of one token but different classes that pass all filters.
+def _block_pairs(rows: DataFrame, like: Likeness) -> DataFrame:
+    """Distinct pairs of sets of one token but different classes, filtered by length and position.
 
     A token's rows are dealt into blocks of about BLOCK rows, and each pair of blocks is a
     group; a row goes to as many groups as its token has blocks. Only tokens whose sets aren't
@@ -345,7 +345,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col
         found = checkpointed(verified(_star_pairs(_with_roots(shared, roots), like, turn), sets, docs, k, text_col, like))
         links = found if links is None else links.unionByName(found)
         roots = checkpointed(connected(links))
-    links = links.unionByName(verified(_block_pairs(_with_roots(shared, roots), sets, like), sets, docs, k, text_col, like))
+    links = links.unionByName(verified(_block_pairs(_with_roots(shared, roots), like), sets, docs, k, text_col, like))
     roots = connected(links)
     least = rows.groupBy("digest").agg(F.min("id").alias("least"))
     by_root = least.join(roots, least["digest"] == roots["node"], "left").select("digest", "least", F.coalesce("root", "digest").alias("root"))
@@ -386,47 +386,3 @@ def keep_smallest(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col:
     own = docs.withColumns(dict(zip(("__row_key", "__row_proof"), row_keys(id_col, text_col, *keys), strict=True))).withColumn("__look", worded & suspect("__row_key"))
     looked = own.where("__look").join(best.toDF("__row_key", "__row_proof"), ["__row_key", "__row_proof"]).dropDuplicates(["__row_key", "__row_proof"])
     return own.where("not __look").select(*docs.columns).unionByName(looked.select(*docs.columns))
-
-
-def _with_roots(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return shared.withColumn("root", F.col("digest"))
-    return shared.join(roots, shared["digest"] == roots["node"], "left").select(*shared.columns, F.coalesce("root", "digest").alias("root"))
-
-
-def keep_smallest(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the smallest id of each component, with all their columns.
-
-    Of rows that repeat with that id, one stays; documents without words all stay. Rows are told
-    apart by two hashes of id and text.
-    """
-    found = near_duplicates(docs, k, least_percent, id_col, text_col).where("n > 0")
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key")).alias("x")
-    best = found.groupBy("root").agg(first).select(F.col("x.id").alias("__id"), F.col("x.text_key").alias("__best"))
-    own = docs.withColumn("__key", F.xxhash64(text_col)).withColumn("__worded", F.coalesce(F.rlike(text_col, F.lit(r"[^\x20\x09-\x0D]")), F.lit(False)))
-    same = (F.col("__key") == F.col("__best")) & own[id_col].eqNullSafe(F.col("__id"))
-    kept = own.where("__worded").join(best, same).dropDuplicates([id_col, "__key"])
-    return kept.select(*docs.columns).unionByName(own.where("not __worded").select(*docs.columns))
-
-
-def _with_roots(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return shared.withColumn("root", F.col("digest"))
-    return shared.join(roots, shared["digest"] == roots["node"], "left").select(*shared.columns, F.coalesce("root", "digest").alias("root"))
-
-
-def keep_smallest(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the smallest id of each component, with all their columns.
-
-    Of rows that repeat with that id, one stays; documents without words all stay. Rows are told
-    apart by two hashes of id and text.
-    """
-    found = near_duplicates(docs, k, least_percent, id_col, text_col)
-    best = found.where("n > 0 and id <=> component_id").select(F.col("id").alias("__id"), F.col("text_key").alias("__key")).distinct()
-    first = best.groupBy("__id").agg(F.min("__key").alias("__key"))
-    own = docs.withColumn("__key", F.xxhash64(text_col))
-    same = (own["__key"] == first["__key"]) & own[id_col].eqNullSafe(first["__id"])
-    bare = own.where(F.coalesce(~F.rlike(text_col, F.lit(r"[^\x20\x09-\x0D]")), F.lit(True)))
-    kept = own.where(F.rlike(text_col, F.lit(r"[^\x20\x09-\x0D]"))).join(first, same).select(*[own[c] for c in own.columns])
-    kept = kept.dropDuplicates([id_col, "__key"])
-    return kept.select(*docs.columns).unionByName(bare.select(*docs.columns))

@@ -188,7 +188,7 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", only:
     taken = dict.fromkeys(languages, 0)
     xs, ys = [], []
     for r in got:
-        if r.lang in taken and taken[r.lang] < max(1, each):
+        if r.lang in taken and taken[r.lang] < max(1, each) and any(map(str.isalpha, r.text)):
             taken[r.lang] += 1
             data = SYMBOL[np.frombuffer(r.text.encode("utf-8", "replace"), np.uint8)]
             x, _ = windows(data, np.array([0, len(data)]))

@@ -150,7 +150,9 @@ def mix(
     ``members``: array of the sources that a document belongs to; ``targets`` turns the sources'
     sizes in words into targets in words. Documents are aggregated by membership pattern; the
     flow gives each pattern its words; within a pattern, documents in the order of a seeded hash
-    are taken until its words are reached, and the documents that fit best fill what is left.
+    are taken until its words are reached, the documents that fit best fill what is left, and of
+    one more only as many words are taken as are still missing (``taken`` counts them, ``repeats``
+    doesn't).
     Every document of a pattern is taken n times before one is taken n + 1 times, and none more
     than ``max_repeat`` times. The result does not depend on partitions; reruns agree.
 
@@ -206,10 +208,15 @@ def mix(
         if not best:
             break
         extra += [tuple(r) for r in best]
-    out = _with_extra(spark, marked, extra).withColumn("repeats", F.col("whole") + F.col("more").cast("long"))
-    out = out.withColumn("repeats", F.when(F.col("size") > 0, F.col("repeats")).otherwise(0))
+    now = _with_extra(spark, marked, extra)
+    left = now.groupBy("pattern").agg((F.first("rest") - F.sum(F.when(F.col("more"), F.col("size")).otherwise(0))).alias("left")).where("left > 0")
+    best = now.where("not more and size > 0").groupBy("pattern").agg(F.max(F.struct("size", "id", "h")).alias("x"))
+    parts = [tuple(r) for r in best.join(F.broadcast(left), "pattern").select("pattern", "x.h", F.least("x.size", "left").alias("part")).collect()]
+    part_df = F.broadcast(spark.createDataFrame(parts, "pattern string, h long, part long"))
+    out = now.join(part_df, ["pattern", "h"], "left").withColumn("part", F.when(F.col("more"), 0).otherwise(F.coalesce("part", F.lit(0))))
+    out = out.withColumn("repeats", F.when(F.col("size") > 0, F.col("whole") + F.col("more").cast("long")).otherwise(0))
     return out.select(
-        "id", "members", "size", "repeats", (F.col("size") * F.col("repeats")).alias("taken"), _looked_up(spark, F.col("members"), sizes, "long").alias("source_sizes"), _looked_up(spark, F.col("members"), wanted, "double").alias("targets"), "h"
+        "id", "members", "size", "repeats", (F.col("size") * F.col("repeats") + F.col("part")).alias("taken"), _looked_up(spark, F.col("members"), sizes, "long").alias("source_sizes"), _looked_up(spark, F.col("members"), wanted, "double").alias("targets"), "h"
     )
 
 
@@ -228,7 +235,7 @@ def _looked_up(spark, members: Column, values: dict, kind: str) -> Column:  # no
 
 
 def repeated(docs: DataFrame, mixed_rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 17) -> DataFrame:
-    """The mix itself: rows of ``docs`` as often as ``mixed_rows`` takes them, with all their columns."""
+    """The mix itself: rows of ``docs`` as often as ``mixed_rows`` takes them whole, with all their columns."""
     taken = mixed_rows.where("repeats > 0").groupBy(F.col("id").alias("__id"), F.col("h").alias("__h")).agg(F.max("repeats").alias("__n"))
     own = docs.withColumn("__h", F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)))
     joined = own.join(taken, (own["__h"] == taken["__h"]) & own[id_col].eqNullSafe(taken["__id"]))
