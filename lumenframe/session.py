@@ -293,6 +293,29 @@ class Connection:
     def enum_type(self, name: str, type: Any, values: list[str]) -> _types.EnumType:  # noqa: A002
         return _types.enum_type(name, values)
 
+    # ------------------------------------------------------------------ file systems and extensions
+
+    def register_filesystem(self, filesystem: Any) -> None:
+        """An fsspec file system; files of its protocol are copied before a scan."""
+        names = filesystem.protocol if isinstance(filesystem.protocol, (list, tuple)) else [filesystem.protocol]
+        readers.FILESYSTEMS.update(dict.fromkeys(names, filesystem))
+
+    def unregister_filesystem(self, name: str) -> None:
+        if readers.FILESYSTEMS.pop(name, None) is None:
+            raise ValueError(f"no file system {name} is registered")
+
+    def list_filesystems(self) -> list[str]:
+        return sorted(readers.FILESYSTEMS)
+
+    def filesystem_is_registered(self, name: str) -> bool:
+        return name in readers.FILESYSTEMS
+
+    def install_extension(self, extension: str, **options: Any) -> None:
+        """Spark takes packages when its session starts."""
+        raise NotImplementedError(f"start the session with the package of {extension} in spark.jars.packages")
+
+    load_extension = install_extension
+
     # ------------------------------------------------------------------ catalog
 
     def export_database(self, path: str) -> list[str]:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import glob
 import os
 import tempfile
+import uuid
 from pathlib import Path
 from typing import Any
 
@@ -18,17 +18,38 @@ from .formats import java_pattern
 Paths = str | Path | bytes | list | Any
 
 
-def paths_of(given: Paths) -> list[str]:
-    """Paths of a string, path, list or file-like object; the content of the last two goes to a file."""
+#: File systems of ``register_filesystem`` by protocol; their files are copied before a scan.
+FILESYSTEMS: dict[str, Any] = {}
+
+
+def paths_of(given: Paths, spark: SparkSession) -> list[str]:
+    """Paths of a string, path, list or file-like object; what only Python can read is copied."""
     if isinstance(given, (list, tuple)):
-        return [p for g in given for p in paths_of(g)]
+        return [p for g in given for p in paths_of(g, spark)]
     if isinstance(given, (str, Path)):
-        return [str(given)]
+        protocol = str(given).split("://", 1)[0] if "://" in str(given) else ""
+        if protocol not in FILESYSTEMS:
+            return [str(given)]
+        fs = FILESYSTEMS[protocol]
+        return [_copied(spark, fs.open(p, "rb").read(), os.path.splitext(p)[1]) for p in sorted(fs.glob(str(given)))]
     content = given if isinstance(given, bytes) else given.read()
-    handle, path = tempfile.mkstemp(prefix="lumenframe-")
-    with os.fdopen(handle, "wb") as f:
-        f.write(content.encode() if isinstance(content, str) else content)
-    return [path]
+    return [_copied(spark, content.encode() if isinstance(content, str) else content, "")]
+
+
+def _copied(spark: SparkSession, content: bytes, suffix: str) -> str:
+    """A file with this content in the folder that all machines share, or, where none is set, in a
+    temporary one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        handle, path = tempfile.mkstemp(prefix="lumenframe-", suffix=suffix)
+        with os.fdopen(handle, "wb") as f:
+            f.write(content)
+        return path
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared.rstrip('/')}/lumenframe-{uuid.uuid4().hex}{suffix}")
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
+    out.write(content)
+    out.close()
+    return target.toString()
 
 
 def _finish(df: DataFrame, filename: bool | str | None, drop: list[str] | None = None) -> DataFrame:
@@ -42,7 +63,7 @@ def read_parquet(
     hive_partitioning: bool | None = None, union_by_name: bool = False, compression: str | None = None,
 ) -> DataFrame:
     """Parquet files; ``file_row_number`` and ``filename`` add columns, ``union_by_name`` merges schemas."""
-    df = spark.read.option("mergeSchema", bool(union_by_name)).parquet(*paths_of(path))
+    df = spark.read.option("mergeSchema", bool(union_by_name)).parquet(*paths_of(path, spark))
     if binary_as_string:
         df = df.withColumns({f.name: F.decode(F.col(f.name), "UTF-8") for f in df.schema if isinstance(f.dataType, T.BinaryType)}) if any(isinstance(f.dataType, T.BinaryType) for f in df.schema) else df
     if file_row_number:
@@ -69,10 +90,12 @@ def read_csv(
     lines in the temporary view ``rejects_table``. Options that size buffers or threads have no
     effect, as Spark sizes its own.
     """
-    files = paths_of(path)
-    mark = sep or delimiter or _sniffed(files, encoding)
+    files = paths_of(path, spark)
+    mark = sep or delimiter
+    lines = [] if mark and header is not None else [x for x in _head(spark, files) if x]
+    mark = mark or _sniffed(lines)
     if header is None:
-        header = _has_header(files, mark, quotechar or '"', encoding) if not names or columns else False
+        header = _has_header(lines, mark, quotechar or '"') if not names or columns else False
     nulls = [na_values] if isinstance(na_values, str) else list(na_values or [""])
     given = dict(columns) if columns else None
     if given is None and isinstance(dtype, (list, tuple)) and names and len(names) == len(dtype):
@@ -140,24 +163,17 @@ def _normal(name: str) -> str:
     return f"_{out}" if out[:1].isdigit() else out or "column"
 
 
-def _head(files: list[str], encoding: str | None, n: int = 20) -> list[str]:
-    """The first lines of the first local file; none for other stores."""
-    local = files[0].removeprefix("file://")
-    found = sorted(glob.glob(f"{local}/*.csv*") if os.path.isdir(local) else glob.glob(local))
-    if not found or found[0].endswith((".gz", ".zst", ".bz2")):
-        return []
-    with open(found[0], encoding=encoding or "utf-8", errors="replace") as f:
-        return [x.rstrip("\n") for _, x in zip(range(n), f, strict=False)]
+def _head(spark: SparkSession, files: list[str], n: int = 20) -> list[str]:
+    """The first lines."""
+    return [r.value for r in spark.read.text(files[:1]).limit(n).collect()]
 
 
-def _sniffed(files: list[str], encoding: str | None) -> str:
-    lines = [x for x in _head(files, encoding) if x]
+def _sniffed(lines: list[str]) -> str:
     best = max(",|;\t", key=lambda c: (min((x.count(c) for x in lines), default=0), -",|;\t".index(c)))
     return best if lines and min(x.count(best) for x in lines) else ","
 
 
-def _has_header(files: list[str], sep: str, quote: str, encoding: str | None) -> bool:
-    lines = _head(files, encoding, 3)
+def _has_header(lines: list[str], sep: str, quote: str) -> bool:
     if len(lines) < 2:
         return True
     first, second = ([x.strip().strip(quote) for x in line.split(sep)] for line in lines[:2])
@@ -182,7 +198,7 @@ def read_json(
         "mode": "DROPMALFORMED" if ignore_errors else "FAILFAST", "compression": compression, "samplingRatio": None,
     }
     reader = spark.read.options(**{k: v for k, v in options.items() if v is not None})
-    df = (reader.schema(schema) if schema is not None else reader).json(paths_of(path))
+    df = (reader.schema(schema) if schema is not None else reader).json(paths_of(path, spark))
     if records in (False, "false"):
         df = df.select(F.struct("*").alias("json"))
     for name, kind in (hive_types or {}).items():
@@ -191,8 +207,8 @@ def read_json(
 
 
 def read_orc(spark: SparkSession, path: Paths) -> DataFrame:
-    return spark.read.orc(paths_of(path))
+    return spark.read.orc(paths_of(path, spark))
 
 
 def read_text(spark: SparkSession, path: Paths) -> DataFrame:
-    return spark.read.text(paths_of(path))
+    return spark.read.text(paths_of(path, spark))

@@ -157,3 +157,27 @@ def test_patterns():
     assert java_pattern("%d/%m/%Y %H:%M") == "dd/MM/yyyy HH:mm"
     assert java_pattern("%Y year") == "yyyy' year'"
     assert java_pattern("yyyy") == "yyyy"
+
+
+class _Memory:
+    """A file system as fsspec has them."""
+
+    protocol = "mem"
+    files = {"mem://a/x.csv": b"a,b\n1,x\n"}
+
+    def glob(self, pattern):
+        return [f for f in self.files if f == pattern]
+
+    def open(self, path, mode):
+        return io.BytesIO(self.files[path])
+
+
+def test_file_systems(con):
+    con.register_filesystem(_Memory())
+    assert con.list_filesystems() == ["mem"] and con.filesystem_is_registered("mem")
+    assert rows(con.read_csv("mem://a/x.csv")) == [(1, "x")]
+    con.unregister_filesystem("mem")
+    with pytest.raises(ValueError, match="registered"):
+        con.unregister_filesystem("mem")
+    with pytest.raises(NotImplementedError):
+        con.load_extension("x")
