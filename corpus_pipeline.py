@@ -13,7 +13,7 @@ from lumenframe.llm.common import _remove, shared_dir
 from lumenframe.llm.queries import tokenizer_path
 
 #: A document whose best language is less sure than this is rejected.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
