@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,8 +52,19 @@ def rel(spark: SparkSession, sf_dir: str, name: str) -> Relation:
     return Relation(table(spark, sf_dir, name), name)
 
 
+class _Tables(Connection):
+    """A connection in which the tables of a folder are views, made as they are named."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        super().__init__(spark)
+        self._folder = sf_dir
+
+    def _one(self, sql: str, params: Any, depth: int) -> Relation:
+        for name in TABLES:
+            if re.search(rf"\b{name}\b", sql):
+                table(self.spark, self._folder, name).createOrReplaceTempView(name)
+        return super()._one(sql, params, depth + 1)
+
+
 def connection(spark: SparkSession, sf_dir: str) -> Connection:
-    """A connection in which the tables of ``sf_dir`` are views."""
-    for name in TABLES:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
-    return Connection(spark)
+    return _Tables(spark, sf_dir)
