@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import aggregates, basics, clauses, expressions, frames, interchange, joins, nested, relations, reports, scalars, sinks, timeseries, windows  # noqa: F401
+from . import aggregates, basics, clauses, expressions, frames, interchange, joins, nested, relations, reports, results, scalars, sinks, timeseries, windows  # noqa: F401
 from .registry import ORACLES, QUERIES, register
 
 __all__ = ["ORACLES", "QUERIES", "register"]
