@@ -60,7 +60,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/lumenframe-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["_stored_at"] = path
+    return out
+
+
+def discard(*dfs: DataFrame) -> None:
+    """Removes the files of results of ``stored`` that nothing reads any more."""
+    for df in dfs:
+        _remove(df.sparkSession, df.__dict__["_stored_at"])
 
 
 def _remove(spark: SparkSession, path: str) -> None:

@@ -12,22 +12,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, checkpointed, chunks, ship, stored, utf8
+from .common import Words, checkpointed, chunks, discard, ship, stored, utf8
 from .components import connected
 
 #: Buckets of the frequency sketch that orders n-grams from rare to common. Its size is fixed;
 #: collisions change only how well the order separates rare from common, never the result.
-SKETCH_BITS = 18
+SKETCH_BITS = 22
 _SLICE = 1 << 14
 #: Bits of the fixed-size filters that stand for sets of keys; false hits are removed by a join.
 FILTER_BITS = 26
 #: Rounds in which every prefix n-gram's documents are compared with one of them.
 STAR_ROUNDS = 2
+#: Documents of a large group that are connected among themselves in one task, and from how many
+#: on a group is large.
+HOME, LARGE = 256, 64
 #: Rows of a prefix n-gram that one task compares with as many others.
-BLOCK = 256
-#: The suffix filter counts a set's n-grams by parts of the hash range: about one part for this
-#: many n-grams, between the two limits.
-_PER_PART, _LEAST_PARTS, _MOST_PARTS = 4, 32, 1 << 15
+BLOCK = 1024
+#: The suffix filter counts a set's n-grams by parts of the hash range, about two to a part,
+#: with as many parts as these limits allow.
+_LEAST_PARTS, _MOST_PARTS = 32, 1 << 15
 
 
 @dataclass(frozen=True)
@@ -50,41 +53,45 @@ class Likeness:
 
 
 def _sum_slices(df: DataFrame) -> np.ndarray:
-    """Adds up rows (slice, counts as int32 bytes) by slice."""
+    """Adds up rows (slice, counts as bytes) by slice."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for s, x in zip(b.column("slice").to_pylist(), b.column("counts").to_pylist(), strict=True):
-                x = np.frombuffer(x, np.int32).astype(np.int64)
-                sums[s] = sums[s] + x if s in sums else x
-        if sums:
-            rows = [np.minimum(x, 2**31 - 1).astype(np.int32).tobytes() for x in sums.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(rows, pa.binary())], names=["slice", "counts"])
-
-    out = np.zeros(1 << SKETCH_BITS, np.int64)
-    n = out.size // _SLICE
+                if s in sums:
+                    sums[s] += np.frombuffer(x, np.uint8)
+                else:
+                    sums[s] = np.frombuffer(x, np.uint8).astype(np.uint32)
+        for s, x in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([x.tobytes()], pa.binary())], names=["slice", "counts"])
+
+    out = np.zeros(1 << SKETCH_BITS, np.uint32)
+    n = min(out.size // _SLICE, 64)
     for r in df.repartition(n, "slice").mapInArrow(add, df.schema).toLocalIterator():
-        out[r.slice * _SLICE : (r.slice + 1) * _SLICE] += np.frombuffer(r.counts, np.int32)
+        out[r.slice * _SLICE : (r.slice + 1) * _SLICE] += np.frombuffer(r.counts, np.uint32)
     return out
 
 
 def rarity(docs: DataFrame, k: int, text_col: str) -> np.ndarray:
-    """A class from 0 (rare) to 255 for each bucket of n-gram hashes, from counts over all texts."""
+    """A class from 0 (rare) to 255 for each bucket of n-gram hashes, from counts over all texts.
+
+    A task counts up to 255 in a bucket, which is enough to tell it from a rare one.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(1 << SKETCH_BITS, np.int32)
-        any_ = False
+        own = None
         for b in chunks(batches, "text"):
+            own = np.zeros(1 << SKETCH_BITS, np.int32) if own is None else own
             grams, _ = Words(*utf8(b.column("text"))).shingles(k, lower=True, whole_if_short=True)
             np.add.at(own, (grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-            any_ = True
-        if any_:
-            slices = own.reshape(-1, _SLICE)
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(slices)), pa.int32()), pa.array([s.tobytes() for s in slices], pa.binary())], names=["slice", "counts"])
+        if own is not None:
+            slices = np.minimum(own, 255).astype(np.uint8).reshape(-1, _SLICE)
+            some = np.flatnonzero(slices.any(axis=1))
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([slices[i].tobytes() for i in some], pa.binary())], names=["slice", "counts"])
 
     counts = _sum_slices(docs.select(F.col(text_col).alias("text")).mapInArrow(count, "slice int, counts binary"))
-    return np.minimum(255, 8 * np.log2(1 + counts)).astype(np.uint8)
+    return np.minimum(255, 8 * np.log2(1 + counts.astype(np.float32))).astype(np.uint8)
 
 
 def key_filter(keys: DataFrame, col: str) -> bytes:
@@ -211,7 +218,7 @@ def wanted_sets(docs: DataFrame, keys: DataFrame, k: int, text_col: str) -> Data
 
 def _counts(s: np.ndarray) -> bytes:
     """Counts of n-grams by part of the hash range, a byte each; 255 stands for any greater one."""
-    size = 1 << max(len(s) // _PER_PART, 1).bit_length()
+    size = 1 << max((len(s) - 1) // 2, 1).bit_length()
     size = min(max(size, _LEAST_PARTS), _MOST_PARTS)
     at = (s >> np.uint64(65 - size.bit_length())).astype(np.int64)
     return np.minimum(np.bincount(at, minlength=size), 255).astype(np.uint8).tobytes()
@@ -219,12 +226,13 @@ def _counts(s: np.ndarray) -> bytes:
 
 def _most(a: np.ndarray, b: np.ndarray) -> int:
     """The largest intersection that the counts of two sets allow; the finer ones are added up."""
-    a, b = a.astype(np.int64), b.astype(np.int64)
-    a[a == 255], b[b == 255] = 1 << 40, 1 << 40
-    if len(a) != len(b):
-        n = min(len(a), len(b))
-        a, b = a.reshape(n, -1).sum(axis=1), b.reshape(n, -1).sum(axis=1)
-    return int(np.minimum(a, b).sum())
+    if len(a) == len(b):
+        low = np.minimum(a, b)
+        return int(low.sum(dtype=np.int64)) + (1 << 40) * int((low == 255).any())
+    n = min(len(a), len(b))
+    if a.max() == 255 or b.max() == 255:
+        return 1 << 40
+    return int(np.minimum(*(x.reshape(n, -1).sum(axis=1, dtype=np.int64) for x in (a, b))).sum())
 
 
 def _intersection(a: np.ndarray, b: np.ndarray) -> int:
@@ -251,11 +259,15 @@ def suffix_filtered(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFr
     return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a binary, b binary")
 
 
+def _grams_of(digests: DataFrame, sets: DataFrame, docs: DataFrame, k: int, text_col: str) -> DataFrame:
+    """(digest, grams) of these digests, from the texts read anew."""
+    return wanted_sets(docs, sets.select("digest", "text_key").join(digests, "digest", "left_semi").select("text_key"), k, text_col)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, text_col: str, like: Likeness) -> DataFrame:
     """The pairs (a, b) of digests whose sets link; only the texts of these pairs are read anew."""
     pairs = checkpointed(suffix_filtered(pairs, sets, like))
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
-    grams = wanted_sets(docs, sets.select("digest", "text_key").join(needed, "digest", "left_semi").select("text_key"), k, text_col)
+    grams = _grams_of(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), sets, docs, k, text_col)
     left, right = grams.select(F.col("digest").alias("a"), F.col("grams").alias("ga")), grams.select(F.col("digest").alias("b"), F.col("grams").alias("gb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,11 +281,52 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, text_co
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ga", "gb").mapInArrow(run, "a binary, b binary")
 
 
+def _home_links(shared: DataFrame, sets: DataFrame, docs: DataFrame, k: int, text_col: str, like: Likeness) -> DataFrame:
+    """Links that connect large groups: each set goes once to the group of its commonest prefix
+    n-gram, dealt into blocks of about HOME sets, and a task connects what links inside a block."""
+    sizes = shared.groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") >= LARGE)
+    home = shared.join(sizes, "token").groupBy("digest").agg(F.max(F.struct("size", "token")).alias("h")).select("digest", "h.*")
+    home = checkpointed(home.select("digest", "token", F.pmod(F.xxhash64("digest"), F.ceil(F.col("size") / HOME)).alias("block")))
+    grams = _grams_of(home.select("digest"), sets, docs, k, text_col)
+
+    def run(table):  # noqa: ANN001, ANN202
+        sets_ = [np.frombuffer(x, np.uint64) for x in table["grams"].to_pylist()]
+        digests = table["digest"].to_pylist()
+        a, b = _forest(sets_, like)
+        return pa.table({"a": pa.array([digests[i] for i in a], pa.binary()), "b": pa.array([digests[i] for i in b], pa.binary())})
+
+    return home.join(grams, "digest").groupBy("token", "block").applyInArrow(run, "a binary, b binary")
+
+
+def _forest(sets: list[np.ndarray], like: Likeness) -> tuple[list[int], list[int]]:
+    """Links that connect all sets which links connect; no pair is compared once it is connected."""
+    a, b = [], []
+    classes: list[list[int]] = []
+    for x in sorted(range(len(sets)), key=lambda i: len(sets[i])):
+        own, rest = [x], []
+        for members in classes:
+            for y in members:
+                need = like.overlap(len(sets[x]), len(sets[y]))
+                if min(len(sets[x]), len(sets[y])) >= need and _intersection(sets[x], sets[y]) >= need:
+                    a.append(x)
+                    b.append(y)
+                    own = [y, *(m for m in members if m != y), *own]  # who linked is asked first next time
+                    break
+            else:
+                rest.append(members)
+        classes = sorted([own, *rest], key=len, reverse=True)
+    return a, b
+
+
 def _star_pairs(rows: DataFrame, like: Likeness, turn: int) -> DataFrame:
-    """Each row of a token against one of the token's sets, other for every ``turn``; filtered by
-    length and position. Distinct pairs a < b of sets in different classes."""
-    pick = F.min(F.struct(F.xxhash64("digest", F.lit(turn)).alias("h"), "digest", "n", "pos", "root")).alias("c")
-    center = rows.groupBy("token").agg(pick)
+    """Each row of a token against one of the token's sets, the next one in every ``turn``;
+    filtered by length and position. Distinct pairs a < b of sets in different classes."""
+    order = F.xxhash64("digest")
+    for _ in range(turn):
+        rows = rows.drop("passed") if "passed" in rows.columns else rows
+        rows = rows.join(rows.groupBy("token").agg(F.min(order).alias("passed")), "token")
+    left = rows.where(order > F.col("passed")) if turn else rows
+    center = left.groupBy("token").agg(F.min(F.struct(order.alias("h"), "digest", "n", "pos", "root")).alias("c"))
     both = rows.join(center, "token").where(F.col("root") != F.col("c.root"))
     need = F.ceil(F.lit(like.least) * (F.col("n") + F.col("c.n")) / F.lit(like.per + like.least) - F.lit(1e-9))
     most = F.least("pos", "c.pos") + 1 + F.least(F.expr("n - pos - 1"), F.expr("c.n - c.pos - 1"))
@@ -281,24 +334,25 @@ def _star_pairs(rows: DataFrame, like: Likeness, turn: int) -> DataFrame:
     return near.select(F.least("digest", "c.digest").alias("a"), F.greatest("digest", "c.digest").alias("b")).distinct()
 
 
-def _block_pairs(rows: DataFrame, like: Likeness) -> DataFrame:
-    """Distinct pairs of sets of one token but different classes, filtered by length and position.
+def _block_pairs(rows: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+    """Distinct pairs of sets of one token but different classes that pass all filters.
 
-    A token's rows are dealt into blocks of about BLOCK rows, and each pair of blocks is a
-    group; a row goes to as many groups as its token has blocks. Only tokens whose sets aren't
-    all connected by now are taken.
+    Only tokens are taken that have more sets than the star rounds have compared in full, and
+    not all in one class. A token's rows are dealt into blocks of about BLOCK rows, and each pair
+    of blocks is a group; a row goes to as many groups as its token has blocks.
     """
-    open_ = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    open_ = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where((F.col("lo") != F.col("hi")) & (F.col("size") > STAR_ROUNDS + 1))
     open_ = open_.select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    here = rows.join(open_, "token").withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+    here = rows.join(open_, "token").withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")).join(sets.select("digest", "parts"), "digest")
     dealt = here.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "n", "pos", "root"
+        "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "n", "pos", "root", "parts"
     )
 
     def run(key, table):  # noqa: ANN001, ANN202
         i, j = key[1].as_py(), key[2].as_py()
         n, pos, own = table["n"].to_numpy(), table["pos"].to_numpy(), table["own"].to_numpy()
         digests, roots = table["digest"].to_pylist(), table["root"].to_pylist()
+        parts = [np.frombuffer(x, np.uint8) for x in table["parts"].to_pylist()]
         label = {r: x for x, r in enumerate(dict.fromkeys(roots))}
         group = np.array([label[r] for r in roots])
         a, b = [], []
@@ -311,8 +365,9 @@ def _block_pairs(rows: DataFrame, like: Likeness) -> DataFrame:
             ok &= np.minimum(n, n[x]) >= need
             ok &= np.minimum(pos, pos[x]) + np.minimum(n - pos, n[x] - pos[x]) >= need
             for y in np.flatnonzero(ok):
-                a.append(min(digests[x], digests[y]))
-                b.append(max(digests[x], digests[y]))
+                if _most(parts[x], parts[y]) >= need[y]:
+                    a.append(min(digests[x], digests[y]))
+                    b.append(max(digests[x], digests[y]))
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return dealt.groupBy("token", "i", "j").applyInArrow(run, "a binary, b binary").distinct()
@@ -330,9 +385,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col
 
     Documents with equal sets are one set. Each set's rarest n-grams (prefix) are its keys; sets
     that share a key are compared after length, position and suffix filters, each pair once and
-    never inside a class that is connected already. Hot keys: first every set of a key is
-    compared with one of them (rows grow with the key's size, not its square), then what is
-    still unconnected is compared block by block.
+    never inside a class that is connected already. Hot keys: first the sets of a large group are
+    connected in blocks, then every set of a key is compared with one of them (rows grow with the
+    key's size, not its square), and then what is still unconnected block by block.
     """
     ship(docs.sparkSession)
     like = Likeness(least_percent)
@@ -340,24 +395,25 @@ def near_duplicates(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col
     first = [F.first(c).alias(c) for c in ("n", "prefix", "parts")]
     sets = stored(rows.where("prefix is not null").groupBy("digest").agg(*first, F.min("text_key").alias("text_key")), "sets")
     shared = checkpointed(shared_prefixes(sets))
-    links, roots = None, None
+    links = checkpointed(_home_links(shared, sets, docs, k, text_col, like))
     for turn in range(STAR_ROUNDS):
-        found = checkpointed(verified(_star_pairs(_with_roots(shared, roots), like, turn), sets, docs, k, text_col, like))
-        links = found if links is None else links.unionByName(found)
-        roots = checkpointed(connected(links))
-    links = links.unionByName(verified(_block_pairs(_with_roots(shared, roots), like), sets, docs, k, text_col, like))
+        now = checkpointed(_with_roots(shared, connected(links)))
+        links = links.unionByName(checkpointed(verified(_star_pairs(now, like, turn), sets, docs, k, text_col, like)))
+    now = checkpointed(_with_roots(shared, connected(links)))
+    links = links.unionByName(verified(_block_pairs(now, sets, like), sets, docs, k, text_col, like))
     roots = connected(links)
     least = rows.groupBy("digest").agg(F.min("id").alias("least"))
     by_root = least.join(roots, least["digest"] == roots["node"], "left").select("digest", "least", F.coalesce("root", "digest").alias("root"))
     smallest = by_root.groupBy("root").agg(F.min("least").alias("component_id"))
     named = by_root.join(smallest, "root").select("digest", "root", "component_id")
     out = rows.select("id", "row_key", "row_proof", "n", "digest").join(named, "digest")
-    return out.select("id", "row_key", "row_proof", "n", "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    smallest = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
+    out = checkpointed(out.select("id", "row_key", "row_proof", "n", "root", smallest.alias("component_id")))
+    discard(rows, sets)
+    return out
 
 
-def _with_roots(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return shared.withColumn("root", F.col("digest"))
+def _with_roots(shared: DataFrame, roots: DataFrame) -> DataFrame:
     return shared.join(roots, shared["digest"] == roots["node"], "left").select(*shared.columns, F.coalesce("root", "digest").alias("root"))
 
 
@@ -368,7 +424,7 @@ def keep_smallest(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col:
     apart by two hashes of id and text.
     """
     keys = ["row_key", "row_proof"]
-    found = checkpointed(near_duplicates(docs, k, least_percent, id_col, text_col).where("n > 0"))
+    found = near_duplicates(docs, k, least_percent, id_col, text_col).where("n > 0")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", *keys)).alias("x")
     best = checkpointed(found.groupBy("root").agg(first).select("x.row_key", "x.row_proof"))
     # most rows are the only one of their component: those outside this filter of fixed size stay

@@ -37,6 +37,8 @@ def test_components_equal_all_pairs(spark, docs, texts, k, least):
 def test_many_near_copies_and_chains(spark, monkeypatch):
     """More sets than a block, of which one center reaches few."""
     monkeypatch.setattr(J, "BLOCK", 8)
+    monkeypatch.setattr(J, "HOME", 4)
+    monkeypatch.setattr(J, "LARGE", 5)
     rng = random.Random(9)
     words = [f"w{i}" for i in range(400)]
     base = [rng.choice(words) for _ in range(80)]
