@@ -30,13 +30,17 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = secrets.BASE_RULES + secrets.MORE_RULES
     base = [k for k, r in enumerate(rules) if r.base]
     rows = secrets.scan(_table(spark, sf_dir, "documents"), rules)
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["rule"] == k)).cast("long").alias(f"n_{rules[k].kind}") for k in base]
+    counts = [F.size(F.filter("spans", _of_rule(k))).cast("long").alias(f"n_{rules[k].kind}") for k in base]
     own = F.filter("spans", lambda s: s["rule"].isin(base))
     return rows.select(
         F.col("id").alias("doc_id"), *counts, F.sha2(secrets.joined_spans(own, rules), 256).alias("base_sha256"), secrets.joined_spans(F.col("spans"), rules).alias("spans")
     )
 
 
+def _of_rule(k: int):  # noqa: ANN202
+    return lambda s: s["rule"] == k  # of one parameter: a second one would be the index
+
+
 def _held_out(id_col: str = "doc_id"):  # noqa: ANN202
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
