@@ -178,28 +178,47 @@ def _near(a: str, b: str) -> int:
     return n
 
 
+def candidates(lines: list[Line]) -> list[bool]:
+    """Which lines may be main text: the article's if there is one, else all; never noise."""
+    own = [x.main and not x.noise for x in lines]
+    return own if any(own) else [not x.noise for x in lines]
+
+
+def codes(lines: list[Line]) -> np.ndarray:
+    """Each line as 44 bits of its text's hash, 19 of its length and one: it may be main text."""
+    out = [xxhash.xxh64_intdigest(x.text) >> 20 << 20 | min(len(x.text), (1 << 19) - 1) << 1 | c for x, c in zip(lines, candidates(lines), strict=True)]
+    return np.array(out, np.uint64)
+
+
+def _texts(page: list[int]) -> list[int]:
+    return [x >> 1 for x in page]
+
+
 def shared_with_nearest(own: tuple, before: tuple | None, after: tuple | None) -> list[int]:
-    """Lines of ``own`` (host, path, hashes) that its nearest page on the host shares.
+    """Lines of ``own`` (host, path, codes) that its nearest page on the host shares.
 
     Of the pages before and after it in the order of paths, the one whose path agrees longer;
-    a page with the very same lines says nothing, and then the other one counts.
+    a page with the very same lines says nothing, and then the other one counts. If the lines
+    that may be main text are the same on both, they are copies, and these lines stay.
     """
-    near = [p for p in (before, after) if p is not None and p[0] == own[0] and p[2] != own[2]]
+    mine = _texts(own[2])
+    near = [p for p in (before, after) if p is not None and p[0] == own[0] and _texts(p[2]) != mine]
     if not near or not own[0]:
         return []
     best = max(near, key=lambda p: _near(own[1], p[1]))
-    return sorted(shared_lines(own[2], best[2]))
+    copies = [x for x in own[2] if x & 1] == [x for x in best[2] if x & 1]
+    return sorted(i for i in shared_lines(mine, _texts(best[2])) if not (copies and own[2][i] & 1))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per row of ``pages``: id, url, text (blocks joined by an empty line), n_chars, n_shared.
 
     Pages of a host are put in the order of their paths, and the lines of each are aligned with
-    those of its nearest neighbour; shared lines outside the article are deleted, and so are
-    lines of elements that mark menus, adverts, forms and the like. If a page has an article or
-    main element, its lines are the text: a check restores those that a neighbour shares (copies
-    of an article must not delete each other), and drops the rest. Otherwise the lines that are
-    left are the text. A null or empty page has no text. A URL without host has no neighbour.
+    those of its nearest neighbour; shared lines are deleted, inside an article too, and so are
+    lines of elements that mark menus, adverts, forms and the like. Only if all lines that may
+    be main text are the same on both pages are they restored: copies must not delete each
+    other. If a page has an article or main element, its lines alone may be main text. A null
+    or empty page has no text. A URL without host has no neighbour.
     Repeated rows give the same text each. Extra columns are not read.
 
     Only line hashes are sorted, by range, so a hot host is spread over tasks; the rows at the
@@ -213,7 +232,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "html"):
-            rows = [np.array([xxhash.xxh64_intdigest(x.text) for x in lines_of(t)], np.uint64).tobytes() for t in b.column("html").to_pylist()]
+            rows = [codes(lines_of(t)).tobytes() for t in b.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("key"), b.column("host"), b.column("path"), pa.array(rows, pa.binary())], names=["key", "host", "path", "hashes"])
 
     keyed = src.select("key", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
@@ -262,8 +281,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
 
 def main_text(lines: list[Line], shared) -> str:  # noqa: ANN001
-    """The lines that are left once shared ones and noise are deleted, and the article restored."""
+    """The lines that may be main text and are not ``shared``."""
     gone = set(shared)
-    own = [x for x in lines if x.main and not x.noise]
-    left = own or [x for i, x in enumerate(lines) if i not in gone and not x.noise]
-    return "\n\n".join(x.text for x in left)
+    return "\n\n".join(x.text for i, (x, c) in enumerate(zip(lines, candidates(lines), strict=True)) if c and i not in gone)

@@ -71,3 +71,19 @@ def test_nearest_page_decides(spark):
         assert by[4] == "Menu\n\nAlone\n\nLegal" and by[5] == "No address" and by[6] == ""
         assert by[7] == by[8] == "Same"
     assert P.extract(pages.limit(0)).collect() == []
+
+
+def test_nearest_page_decides_inside_the_article(spark):
+    def page(*blocks):
+        return "<nav>Menu</nav><article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>"
+
+    notice = "Read our other stories as well"  # in no element that marks noise
+    rows = [
+        (1, "http://h.org/1", page("Story one", notice)),
+        (2, "http://h.org/2", page("Story two", notice)),
+        (3, "http://copy.org/a", page("Same", notice) + "<footer>x</footer>"),
+        (4, "http://copy.org/b", page("Same", notice) + "<footer>y</footer>"),
+    ]
+    got = {r.id: (r.text, r.n_shared) for r in P.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1] == ("Story one", 2) and got[2] == ("Story two", 2)
+    assert got[3][0] == got[4][0] == f"Same\n\n{notice}"
