@@ -16,8 +16,8 @@ from .common import Words, chunks, mixed, ship, utf8
 BUCKETS = 1 << 16
 #: Trusted documents that the target multinomial is learned from at most: those with the smallest hash of their id.
 MAX_TRUSTED = 20_000
-#: The raw multinomial counts as so many grams for each bucket and so many times the target's
-#: own grams; few trusted documents thus give ratios near 0.
+#: In each bucket the raw multinomial counts as so many grams and so many times the bucket's own
+#: grams; a bucket of few grams thus gives a ratio near 0, whatever the size of the corpus.
 PRIOR = 4.0
 SMOOTHING = 0.5
 #: Mean log ratio of a document's n-grams below which it is rejected.
@@ -125,15 +125,22 @@ def corpus_counts(docs: DataFrame, trusted: list, id_col: str = "doc_id", text_c
     return target, raw
 
 
-def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """log(p_target / p_raw) of each bucket, smoothed; all 0 without a trusted document."""
+def mean_ratios(grams: np.ndarray, offsets: np.ndarray, own: np.ndarray, target: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """Per text: the mean over its grams of log(p_target / p_raw), smoothed, by the other texts.
+
+    A text's own grams are taken out of the raw counts, and out of the target's if it is one of
+    its ``own``: else what only this text has would speak against it, the more the fewer texts
+    there are. 0 for a text without grams, and for all texts without a trusted document.
+    """
+    n = np.diff(offsets)
     if not target.sum():
-        return np.zeros(BUCKETS)
-    share = raw / raw.sum()
-    prior = SMOOTHING * target.sum() / BUCKETS + PRIOR
-    smooth = (target + prior * BUCKETS * share) / (target.sum() + prior * BUCKETS)
-    smooth = np.where(raw > 0, smooth, 1.0)
-    return np.log(smooth / np.where(raw > 0, share, 1.0))
+        return np.zeros(len(n))
+    part = target.sum() / raw.sum()
+    pairs, count = np.unique(np.repeat(np.arange(len(n)), n) * BUCKETS + grams, return_counts=True)
+    text, bucket = pairs // BUCKETS, pairs % BUCKETS
+    others, trusted = raw[bucket] - count, target[bucket] - count * own[text]
+    ratio = np.log((trusted / part + SMOOTHING * others + PRIOR) / (others + SMOOTHING * others + PRIOR))
+    return np.bincount(text, weights=count * ratio, minlength=len(n)) / np.maximum(n, 1)
 
 
 def trusted_ids(labels: DataFrame, good: Column, id_col: str = "doc_id") -> list:
@@ -147,11 +154,13 @@ def judge(docs: DataFrame, trusted: list, id_col: str = "doc_id", text_col: str
 
     ``trusted``: ids of the documents that the target multinomial is learned from; the raw one
     is learned from all documents. ``llr`` is the mean over a text's words and word pairs of
-    log(p_target / p_raw); 0 for a text without words, and for all texts if none is trusted.
+    log(p_target / p_raw) by all other rows; 0 for a text without words, and for all texts if
+    none is trusted.
     ``kept``: neither base_failed nor llr below ``threshold``. Null text is empty. Repeated rows
     count each. Extra columns are not read. Nothing but bucket counts moves between tasks.
     """
-    ratio = log_ratio(*corpus_counts(docs, trusted, id_col, text_col)).astype(np.float32)
+    target, raw = corpus_counts(docs, trusted, id_col, text_col)
+    ids = set(trusted)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(n, T.LongType()) for n in names), T.StructField("base_failed", T.BooleanType()), T.StructField("llr", T.DoubleType()), T.StructField("kept", T.BooleanType())])
 
@@ -159,8 +168,8 @@ def judge(docs: DataFrame, trusted: list, id_col: str = "doc_id", text_col: str
         for b in chunks(batches, "text"):
             c = counted(b.column("text"))
             grams, offsets = hashed_grams(b.column("text"))
-            sums = np.concatenate([[0.0], np.cumsum(ratio[grams], dtype=np.float64)])
-            llr = np.round((sums[offsets[1:]] - sums[offsets[:-1]]) / np.maximum(np.diff(offsets), 1), 9)
+            own = np.array([i in ids for i in b.column("id").to_pylist()], dtype=bool)
+            llr = np.round(mean_ratios(grams, offsets, own, target, raw), 9)
             failed = (c["n_words"] < 20) | (100 * c["n_repeat_words"] > 30 * c["n_words"])
             kept = ~failed & (llr >= threshold)
             yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array(c[n]) for n in names), pa.array(failed), pa.array(llr), pa.array(kept)], names=schema.names)

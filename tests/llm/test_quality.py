@@ -65,3 +65,17 @@ def test_nothing_trusted_and_no_rows(docs, no_docs):
 def test_trusted_ids(spark):
     labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (None, 1), (3, 1)], "doc_id long, quality int")
     assert sorted(Q.trusted_ids(labels, labels.quality == 1)) == [1, 3]
+
+
+def test_small_and_large_corpora_get_the_same_verdicts(spark):
+    rng = random.Random(6)
+    good = [(i, " ".join(rng.choice("alpha beta gamma delta".split()) for _ in range(40))) for i in range(30)]
+    junk = [(100 + i, " ".join(rng.choice("xx yy zz vv".split()) for _ in range(40))) for i in range(60)]
+    alone = [(200, " ".join(f"word{k}" for k in range(40)))]  # no other text has its words
+    trusted = [i for i, _ in good]
+    for times in (1, 4):
+        docs = spark.createDataFrame((good + junk) * times + alone, "doc_id long, text string")
+        rows = {r.id: r for r in Q.judge(docs, trusted).collect()}
+        assert not any(r.base_failed for r in rows.values())
+        assert [i for i, r in rows.items() if r.kept and i not in trusted] == [200]
+        assert all(rows[i].kept for i in trusted)
