@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as entities
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -139,6 +140,9 @@ def lines_of(html: str | None) -> list[Line]:
 
 # --------------------------------------------------------------------------- differencing
 
+#: Two pages are near copies if so many tenths of the text that may be main text are common.
+NEAR = 8
+_LENGTH = (1 << 19) - 1
 
 def shared_lines(a: list[int], b: list[int]) -> set[int]:
     """Places in ``a`` of a longest common subsequence of ``a`` and ``b``."""
@@ -186,7 +190,7 @@ def candidates(lines: list[Line]) -> list[bool]:
 
 def codes(lines: list[Line]) -> np.ndarray:
     """Each line as 44 bits of its text's hash, 19 of its length and one: it may be main text."""
-    out = [xxhash.xxh64_intdigest(x.text) >> 20 << 20 | min(len(x.text), (1 << 19) - 1) << 1 | c for x, c in zip(lines, candidates(lines), strict=True)]
+    out = [xxhash.xxh64_intdigest(x.text) >> 20 << 20 | min(len(x.text), _LENGTH) << 1 | c for x, c in zip(lines, candidates(lines), strict=True)]
     return np.array(out, np.uint64)
 
 
@@ -194,20 +198,57 @@ def _texts(page: list[int]) -> list[int]:
     return [x >> 1 for x in page]
 
 
-def shared_with_nearest(own: tuple, before: tuple | None, after: tuple | None) -> list[int]:
-    """Lines of ``own`` (host, path, codes) that its nearest page on the host shares.
+def near_copies(a: tuple | None, b: tuple | None) -> bool:
+    """Whether two pages (host, path, codes) of a host have the same lines, or nearly."""
+    if a is None or b is None or a[0] != b[0] or not a[0]:
+        return False
+    if _texts(a[2]) == _texts(b[2]):
+        return True
+    own, other = (Counter(x >> 1 for x in p[2] if x & 1) for p in (a, b))
+    size = max(sum((x & _LENGTH) * n for x, n in c.items()) for c in (own, other))
+    return size > 0 and 10 * sum((x & _LENGTH) * min(n, other[x]) for x, n in own.items() if x in other) >= NEAR * size
+
+
+def shared_of_run(run: list[tuple], before: tuple | None, after: tuple | None) -> Iterator[list[int]]:
+    """Per page (host, path, codes as bytes) of ``run``: lines that its nearest other page shares.
+
+    ``run``: near copies that follow each other in the order of paths. Of the pages ``before``
+    and ``after`` it on the host, the one whose path agrees longer; near copies say nothing.
+    """
+    last, others, known = None, [], {}
+    for host, path, data in run:
+        if data != last:
+            last, own, known = data, (host, path, decoded(data)), {}
+            others = [p for p in (before, after) if p is not None and host and p[0] == host and not near_copies(own, p)]
+        if not others:
+            yield []
+            continue
+        best = max(others, key=lambda p: _near(path, p[1]))
+        if id(best) not in known:
+            known[id(best)] = sorted(shared_lines(_texts(own[2]), _texts(best[2])))
+        yield known[id(best)]
+
 
-    Of the pages before and after it in the order of paths, the one whose path agrees longer;
-    a page with the very same lines says nothing, and then the other one counts. If the lines
-    that may be main text are the same on both, they are copies, and these lines stay.
+def decoded(data: bytes) -> list[int]:
+    return np.frombuffer(data, np.uint64).tolist()
+
+
+def around(ends: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """Per task: the page before its first and the one before that page's run; the same after it.
+
+    ``ends``: per task, in order, its first and last page, the page before its last run and the
+    page after its first run (None if it has one run).
     """
-    mine = _texts(own[2])
-    near = [p for p in (before, after) if p is not None and p[0] == own[0] and _texts(p[2]) != mine]
-    if not near or not own[0]:
-        return []
-    best = max(near, key=lambda p: _near(own[1], p[1]))
-    copies = [x for x in own[2] if x & 1] == [x for x in best[2] if x & 1]
-    return sorted(i for i in shared_lines(mine, _texts(best[2])) if not (copies and own[2][i] & 1))
+    left, right = [], []
+    state: tuple = (None, None)
+    for first, last, pre, _ in ends:
+        left.append(state)
+        state = (last, pre if pre is not None else state[1] if near_copies(state[0], first) else state[0])
+    state = (None, None)
+    for first, last, _, post in reversed(ends):
+        right.append(state)
+        state = (first, post if post is not None else state[1] if near_copies(last, state[0]) else state[0])
+    return left, right[::-1]
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -215,14 +256,16 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Pages of a host are put in the order of their paths, and the lines of each are aligned with
     those of its nearest neighbour; shared lines are deleted, inside an article too, and so are
-    lines of elements that mark menus, adverts, forms and the like. Only if all lines that may
-    be main text are the same on both pages are they restored: copies must not delete each
-    other. If a page has an article or main element, its lines alone may be main text. A null
+    lines of elements that mark menus, adverts, forms and the like. Copies and near copies must
+    not delete each other: pages in a row that have ``NEAR`` tenths of their text in common with
+    the one before are a run, and each is aligned with the nearer page before or after the run.
+    Pages without lines are passed over. If a page has an article or main element, its lines alone may be main text. A null
     or empty page has no text. A URL without host has no neighbour.
     Repeated rows give the same text each. Extra columns are not read.
 
     Only line hashes are sorted, by range, so a hot host is spread over tasks; the rows at the
-    ends of each task's range (two a task) are sent to their neighbours. The pages then meet
+    ends of each task's range and of the runs there (four a task) are sent to the other tasks,
+    as a run may span several. The pages then meet
     their list of shared lines by an equality join on a hash of the row.
     """
     ship(pages.sparkSession)
@@ -240,32 +283,67 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     ordered = checkpointed(
         lines.dropDuplicates(["key"]).repartitionByRange("host", "path", "key").sortWithinPartitions("host", "path", "key").withColumn("part", F.spark_partition_id())
     )
-    row = F.struct("host", "path", "key", "hashes")
-    ends = {r.part: (r.first, r.last) for r in ordered.groupBy("part").agg(F.min(row).alias("first"), F.max(row).alias("last")).collect()}
+    columns = ("key", "host", "path", "hashes", "part")
+
+    def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = pre = post = part = None
+        for b in batches:
+            for _, h, p, x, part in zip(*(b.column(c).to_pylist() for c in columns), strict=True):
+                if not x:
+                    continue
+                page = (h, p, decoded(x))
+                if last is not None and not near_copies(last, page):
+                    pre, post = last, post or page
+                first, last = first or page, page
+        found = [(k, *p) for k, p in enumerate((first, last, pre, post)) if p is not None]
+        rows = [(part, k, h, p, np.array(x, np.uint64).tobytes()) for k, h, p, x in found]
+        yield pa.RecordBatch.from_pylist([dict(zip(("part", "k", "host", "path", "hashes"), r, strict=True)) for r in rows], pa.schema([("part", pa.int32()), ("k", pa.int32()), ("host", pa.string()), ("path", pa.string()), ("hashes", pa.binary())]))
+
+    ends: dict[int, list] = {}
+    for r in ordered.mapInArrow(bounds, "part int, k int, host string, path string, hashes binary").collect():
+        ends.setdefault(r.part, [None] * 4)[r.k] = (r.host, r.path, decoded(r.hashes))
     parts = sorted(ends)
-    plain = lambda r: (r.host, r.path, np.frombuffer(r.hashes, np.uint64).tolist())
-    edge = {
-        p: (plain(ends[parts[i - 1]][1]) if i else None, plain(ends[parts[i + 1]][0]) if i + 1 < len(parts) else None) for i, p in enumerate(parts)
-    }
+    edge = dict(zip(parts, zip(*around([tuple(ends[p]) for p in parts]), strict=True), strict=True))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = own = None
-        own_key, part = 0, None
+        run: list[tuple] = []
+        run_keys: list[int] = []
+        before = last = part = None
         keys, shared = [], []
+
+        def close(after: tuple | None) -> None:
+            keys.extend(run_keys)
+            shared.extend(shared_of_run(run, before, after))
+            run.clear()
+            run_keys.clear()
+
+        def out() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(shared, pa.list_(pa.int32()))], names=["key", "shared"])
+            keys.clear()
+            shared.clear()
+            return batch
+
         for b in batches:
-            for k, h, p, x, part in zip(*(b.column(c).to_pylist() for c in ("key", "host", "path", "hashes", "part")), strict=True):
-                nxt = (h, p, np.frombuffer(x, np.uint64).tolist())
-                if own is None:
-                    before = edge[part][0]
-                else:
-                    keys.append(own_key)
-                    shared.append(shared_with_nearest(own, before, nxt))
-                    before = own
-                own, own_key = nxt, k
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(shared, pa.list_(pa.int32()))], names=["key", "shared"])
-            keys, shared = [], []
-        if own is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([own_key], pa.int64()), pa.array([shared_with_nearest(own, before, edge[part][1])], pa.list_(pa.int32()))], names=["key", "shared"])
+            for k, h, p, x, part in zip(*(b.column(c).to_pylist() for c in columns), strict=True):
+                if not x:
+                    keys.append(k)
+                    shared.append([])
+                    continue
+                page = (h, p, decoded(x))
+                if last is None:
+                    last, pre = edge[part][0]
+                    before = pre if near_copies(last, page) else last
+                elif not near_copies(last, page):
+                    close(page)
+                    before = last
+                last = page
+                run.append((h, p, x))
+                run_keys.append(k)
+            yield out()
+        if run:
+            after, post = edge[part][1]
+            close(post if near_copies(last, after) else after)
+            yield out()
 
     marks = ordered.mapInArrow(compared, "key long, shared array<int>")
     joined = src.join(marks.hint("shuffle_hash"), "key", "left")

@@ -87,3 +87,26 @@ def test_nearest_page_decides_inside_the_article(spark):
     got = {r.id: (r.text, r.n_shared) for r in P.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[1] == ("Story one", 2) and got[2] == ("Story two", 2)
     assert got[3][0] == got[4][0] == f"Same\n\n{notice}"
+
+
+def test_runs_of_copies_are_compared_with_another_page(spark):
+    def page(*blocks):
+        return "<body>" + "".join(f"<p>{b}</p>" for b in ("Menu", *blocks, "Legal")) + "</body>"
+
+    story = [f"This is the part {k} of a long story" for k in range(10)]
+    rows = [(i, f"http://h.org/a/{i:02}", page("Copied story")) for i in range(12)]
+    rows += [(20, "http://h.org/b", page("Other story")), (21, "http://h.org/b/none", None)]
+    rows += [(30 + i, f"http://h.org/c/{i}", page(*story[:5], f"Version {i}", *story[5:])) for i in range(6)]
+    rows += [(40 + i, f"http://copies.org/{i}", page("Copied story")) for i in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for parts in ("1", "4", "9"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            by = {r.id: r.text for r in P.extract(pages).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        assert {by[i] for i in range(12)} == {"Copied story"} and by[20] == "Other story" and by[21] == ""
+        assert all(by[30 + i] == "\n\n".join([*story[:5], f"Version {i}", *story[5:]]) for i in range(6))
+        assert {by[40 + i] for i in range(3)} == {"Menu\n\nCopied story\n\nLegal"}  # no other page on the host
