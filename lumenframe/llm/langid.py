@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .common import chunks, ship, utf8
 
@@ -166,22 +167,26 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", only:
     """A model of the languages in ``lang_col``; None if there is no labelled text with a letter.
 
     ``only``: which rows may be learned from. At most MAX_TEXTS_EACH texts of a language and
-    MAX_TEXTS in all are taken, those with the smallest hash of text and language; rows whose
-    text or language is null are left out. Windows of a text are spread over the whole of it.
+    MAX_TEXTS in all are taken, as many of each language; equal texts count once. They are drawn
+    by a hash of text and language; rows whose text or language is null, or without a letter,
+    are left out. Windows of a text are spread over the whole of it.
     """
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     rows = rows.where(only) if only is not None else rows
-    counts = rows.groupBy(F.col(lang_col).cast("string").alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    h = F.xxhash64(text_col, lang_col)
+    counts = rows.groupBy(F.col(lang_col).cast("string").alias("lang")).agg(F.count_distinct(h).alias("count")).orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     if not counts:
         return None
     each = min(MAX_TEXTS_EACH, MAX_TEXTS // len(counts))
     rate = F.create_map(*[x for r in counts for x in (F.lit(r.lang), F.lit(min(1.0, 1.3 * max(1, each) / r["count"])))])
-    h = F.xxhash64(text_col, lang_col)
-    got = (
+    drawn = (
         rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), h.alias("h"))
         .where((F.pmod("h", F.lit(1 << 20)) / float(1 << 20)) < F.try_element_at(rate, F.col("lang")))
-        .orderBy("h", "lang", "text").limit(MAX_TEXTS).collect()
+        .dropDuplicates(["lang", "h"])
     )
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    got = drawn.withColumn("place", place).where(F.col("place") <= max(1, each)).collect()
+    got.sort(key=lambda r: (r.h, r.lang))
     languages = sorted({r.lang for r in got if any(map(str.isalpha, r.text))})
     if not languages:
         return None

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from lumenframe.llm import langid as L
 
@@ -84,3 +85,14 @@ def test_no_labels_one_label_and_no_rows(spark, docs, no_docs):
     one = L.train(spark.createDataFrame([(1, "abc", "en")], "doc_id long, text string, lang string"))
     assert {(r.lang_pred, r.score) for r in L.identify(docs, one).collect()} == {("en", 1.0), ("und", 0.0)}
     assert L.identify(no_docs, one).collect() == []
+
+
+def test_copies_leave_room_for_other_languages(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_TEXTS", 20)
+    monkeypatch.setattr(L, "MAX_TEXTS_EACH", 10)
+    h = F.xxhash64("text", F.lit("aa"))
+    drawn = spark.range(20_000).select(F.format_string("some text %d", "id").alias("text")).withColumn("h", h).where("pmod(h, 1 << 20) < 4000")
+    text = drawn.orderBy("h").first().text  # of the first that are drawn
+    rows = [(k, text, "aa") for k in range(1000)] + [(2000 + k, f"quite other {k}", "bb") for k in range(5)]
+    model = L.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["aa", "bb"]
