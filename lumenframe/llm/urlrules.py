@@ -35,7 +35,11 @@ class Rule:
 
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; else empty."""
-    return F.translate(_part(url, 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return _lower(_part(url, 1))
+
+
+def _lower(host: Column) -> Column:
+    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def path_of(url: Column) -> Column:
@@ -118,7 +122,8 @@ def match_urls(pages: DataFrame, rules: list[Rule] | DataFrame, url_col: str = "
     ``default``. Of the fitting rules the longest ``host/path`` wins, then the longer host; of
     equal rules, block. Rows repeat as they do in ``pages``.
 
-    ``rules``: a list, or a DataFrame (verdict, host, path). Up to MAX_SENT_RULES are sent to
+    ``rules``: a list, or a DataFrame (verdict, host, path), whose hosts are lower-cased as those
+    of pages are and whose rows with a null are left out, whatever their number. Up to MAX_SENT_RULES are sent to
     every task, where each batch is sorted by its reversed-host keys and swept against the
     intervals. Beyond that, each page is joined with the rules of its own host and of the
     domains around it, by equality, and the longest wins.
@@ -126,7 +131,8 @@ def match_urls(pages: DataFrame, rules: list[Rule] | DataFrame, url_col: str = "
     names = {n: f"{prefix}{n}" for n in ("host", "path", "rule", "verdict")}
     pages = pages.drop(*names.values()).withColumns({names["host"]: host_of(F.col(url_col)), names["path"]: path_of(F.col(url_col))})
     if isinstance(rules, DataFrame):
-        got = rules.select("verdict", "host", "path").limit(MAX_SENT_RULES + 1).collect()
+        rules = rules.select("verdict", _lower(F.col("host")).alias("host"), "path").dropna()
+        got = rules.limit(MAX_SENT_RULES + 1).collect()
         if len(got) > MAX_SENT_RULES:
             return _joined(pages, rules, names, default)
         rules = [Rule(r.verdict, r.host, r.path) for r in got]
@@ -150,7 +156,7 @@ def _joined(pages: DataFrame, rules: DataFrame, names: dict[str, str], default:
     labels = F.split(F.col(host), r"\.")
     around = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     points = pages.select(host, path).distinct()  # a hot URL is looked up once
-    own = rules.select("verdict", F.lower("host").alias("__host"), F.col("path").alias("__path"))
+    own = rules.select("verdict", F.col("host").alias("__host"), F.col("path").alias("__path"))
     rank = F.struct(
         (F.length("__host") + F.length("__path")).alias("n"), F.length("__host").alias("h"), (F.col("verdict") == "block").alias("b"), F.concat("__host", "__path").alias("rule"), "verdict"
     )

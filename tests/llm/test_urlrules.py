@@ -60,3 +60,13 @@ def test_no_rules_and_no_pages(spark):
     pages = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
     assert [(r.rule, r.verdict) for r in U.match_urls(pages, [], default="block").collect()] == [(None, "block")]
     assert U.match_urls(pages.limit(0), RULES).collect() == []
+
+
+def test_few_and_many_rules_of_a_table_fit_alike(spark, monkeypatch):
+    pages = spark.createDataFrame([(1, "http://Example.org/a"), (2, "http://É.org/a"), (3, "http://x.com/a")], "page_id long, url string")
+    rows = [("block", "EXAMPLE.org", "/"), ("block", "É.org", "/"), ("block", None, "/"), ("block", "x.com", None), (None, "x.com", "/")]
+    table = spark.createDataFrame(rows, "verdict string, host string, path string")
+    for most in (U.MAX_SENT_RULES, 1):
+        monkeypatch.setattr(U, "MAX_SENT_RULES", most)
+        got = {r.page_id: (r.rule, r.verdict) for r in U.match_urls(pages, table).collect()}
+        assert got == {1: ("example.org/", "block"), 2: ("É.org/", "block"), 3: (None, "allow")}
