@@ -14,8 +14,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-#: Bytes of text that one numpy pass handles; a longer single text is one pass of its own.
-CHUNK_BYTES = 1 << 20
+#: Bytes of text that one numpy pass handles; a longer single text is one pass of its own, whose
+#: words are hashed in blocks of BLOCK_BYTES.
+CHUNK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
+#: Rows of a small table that one task takes.
+TASK_ROWS = 200_000
 
 #: The white space of all word counts here: space and U+0009 to U+000D.
 WHITE = np.zeros(256, dtype=bool)
@@ -35,9 +39,12 @@ _BASE_INV = pow(_BASE, -1, 1 << 64)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for intermediates: ``spark.checkpoint.dir``, or our own where that is unset."""
+    """The folder for intermediates: ``spark.checkpoint.dir``; in local mode one of our own where
+    that is unset. Elsewhere it must be set: executors don't see a folder of the driver."""
     given = spark.conf.get("spark.checkpoint.dir", None)
     if not given:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         given = "file://" + tempfile.mkdtemp(prefix="lumenframe-")
         spark.conf.set("spark.checkpoint.dir", given)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -71,6 +78,16 @@ def discard(*dfs: DataFrame) -> None:
         _remove(df.sparkSession, df.__dict__["_stored_at"])
 
 
+def is_stored(df: DataFrame) -> bool:
+    """Whether ``df`` reads the files of ``stored`` as they are."""
+    return "_stored_at" in df.__dict__
+
+
+def tasks_for(rows: int) -> int:
+    """How many tasks a table of so many narrow rows deserves."""
+    return max(1, -(-rows // TASK_ROWS))
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
@@ -145,14 +162,38 @@ class Words:
 
     def hashes(self, lower: bool = False) -> np.ndarray:
         """A 64-bit hash of each word's bytes; ``lower``: with A-Z as a-z."""
-        n = len(self.data)
-        power, inverse = _powers(n)
-        letters = (_ASCII_LOWER[self.data] if lower else self.data).astype(np.uint64)
+        out = np.empty(len(self.starts), dtype=np.uint64)
+        i = 0
+        while i < len(out):
+            first = int(self.starts[i])
+            j = int(np.searchsorted(self.ends, first + BLOCK_BYTES, "right"))
+            if j <= i:  # one word longer than a block
+                out[i] = self._long(first, int(self.ends[i]), lower)
+                i += 1
+                continue
+            sums = self._sums(first, int(self.ends[j - 1]), lower)
+            starts = self.starts[i:j] - first
+            out[i:j] = (sums[self.ends[i:j] - first] - sums[starts]) * _powers()[1][starts]
+            i = j
+        return mixed(out)
+
+    def _sums(self, first: int, last: int, lower: bool) -> np.ndarray:
+        """Running sums of the bytes' terms, from 0; at most a block."""
+        part = self.data[first:last]
+        letters = (_ASCII_LOWER[part] if lower else part).astype(np.uint64)
         letters += np.uint64(1)
-        letters *= power[:n]
-        sums = np.zeros(n + 1, dtype=np.uint64)
+        letters *= _powers()[0][: len(part)]
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
         np.cumsum(letters, out=sums[1:])
-        return mixed((sums[self.ends] - sums[self.starts]) * inverse[self.starts])
+        return sums
+
+    def _long(self, first: int, last: int, lower: bool) -> np.uint64:
+        h, at = 0, 0
+        for a in range(first, last, BLOCK_BYTES):
+            b = min(last, a + BLOCK_BYTES)
+            h += int(self._sums(a, b, lower)[-1]) * pow(_BASE, at, 1 << 64)
+            at += b - a
+        return np.uint64(h & 0xFFFFFFFFFFFFFFFF)
 
     def shingles(self, k: int, lower: bool = False, whole_if_short: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of each text's windows of ``k`` words in order, and offsets by text.
@@ -202,12 +243,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _TABLES: list[np.ndarray] = []
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least n + 1 of each."""
-    if not _TABLES or len(_TABLES[0]) <= n:
-        size = max(n + 1, 2 * CHUNK_BYTES)
-        _TABLES[:] = [_power_table(_BASE, size), _power_table(_BASE_INV, size)]
-    return _TABLES[0], _TABLES[1]
+def _powers() -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64, for the bytes of a block."""
+    if not _TABLES:
+        _TABLES[:] = [_power_table(_BASE, BLOCK_BYTES + 1), _power_table(_BASE_INV, BLOCK_BYTES + 1)]
+    return _TABLES
 
 
 def _power_table(base: int, size: int) -> np.ndarray:

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, checkpointed, chunks, discard, ship, stored, utf8
-from .components import connected
+from .common import Words, chunks, discard, is_stored, ship, stored, utf8
+from .components import Classes
 
 #: Buckets of the frequency sketch that orders n-grams from rare to common. Its size is fixed;
 #: collisions change only how well the order separates rare from common, never the result.
@@ -21,8 +21,10 @@ SKETCH_BITS = 22
 _SLICE = 1 << 14
 #: Bits of the fixed-size filters that stand for sets of keys; false hits are removed by a join.
 FILTER_BITS = 26
-#: Rounds in which every prefix n-gram's documents are compared with one of them.
-STAR_ROUNDS = 2
+#: Digests and keys that a task remembers so that it handles copies once; the exact step is later.
+SEEN = 100_000
+#: Sets of each prefix n-gram that all the others are compared with first.
+CENTERS = 2
 #: Documents of a large group that are connected among themselves in one task, and from how many
 #: on a group is large.
 HOME, LARGE = 256, 64
@@ -52,8 +54,8 @@ class Likeness:
 # --------------------------------------------------------------------------- fixed-size sketches
 
 
-def _sum_slices(df: DataFrame) -> np.ndarray:
-    """Adds up rows (slice, counts as bytes) by slice."""
+def _classes_of_sums(df: DataFrame) -> np.ndarray:
+    """Adds up rows (slice, counts as bytes) by slice; a class from 0 to 255 for each sum."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -64,12 +66,13 @@ def _sum_slices(df: DataFrame) -> np.ndarray:
                 else:
                     sums[s] = np.frombuffer(x, np.uint8).astype(np.uint32)
         for s, x in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([x.tobytes()], pa.binary())], names=["slice", "counts"])
+            ranks = np.minimum(255, 8 * np.log2(1 + x.astype(np.float32))).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([ranks.tobytes()], pa.binary())], names=["slice", "counts"])
 
-    out = np.zeros(1 << SKETCH_BITS, np.uint32)
+    out = np.zeros(1 << SKETCH_BITS, np.uint8)
     n = min(out.size // _SLICE, 64)
-    for r in df.repartition(n, "slice").mapInArrow(add, df.schema).toLocalIterator():
-        out[r.slice * _SLICE : (r.slice + 1) * _SLICE] += np.frombuffer(r.counts, np.uint32)
+    for r in df.repartition(n, "slice").mapInArrow(add, df.schema).collect():  # 2**SKETCH_BITS bytes at most
+        out[r.slice * _SLICE : (r.slice + 1) * _SLICE] = np.frombuffer(r.counts, np.uint8)
     return out
 
 
@@ -82,7 +85,7 @@ def rarity(docs: DataFrame, k: int, text_col: str) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = None
         for b in chunks(batches, "text"):
-            own = np.zeros(1 << SKETCH_BITS, np.int32) if own is None else own
+            own = np.zeros(1 << SKETCH_BITS, np.uint32) if own is None else own
             grams, _ = Words(*utf8(b.column("text"))).shingles(k, lower=True, whole_if_short=True)
             np.add.at(own, (grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
         if own is not None:
@@ -90,8 +93,7 @@ def rarity(docs: DataFrame, k: int, text_col: str) -> np.ndarray:
             some = np.flatnonzero(slices.any(axis=1))
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([slices[i].tobytes() for i in some], pa.binary())], names=["slice", "counts"])
 
-    counts = _sum_slices(docs.select(F.col(text_col).alias("text")).mapInArrow(count, "slice int, counts binary"))
-    return np.minimum(255, 8 * np.log2(1 + counts.astype(np.float32))).astype(np.uint8)
+    return _classes_of_sums(docs.select(F.col(text_col).alias("text")).mapInArrow(count, "slice int, counts binary"))
 
 
 def key_filter(keys: DataFrame, col: str) -> bytes:
@@ -99,7 +101,7 @@ def key_filter(keys: DataFrame, col: str) -> bytes:
     at = F.pmod(F.col(col), F.lit(1 << FILTER_BITS))
     rows = keys.select(F.floor(at / 32768).cast("int").alias("slice"), F.pmod(at, F.lit(32768)).alias("bit"))
     out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    for r in rows.groupBy("slice").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
+    for r in rows.groupBy("slice").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
         out[r.slice * 4096 : (r.slice + 1) * 4096] = np.frombuffer(r.bits, np.uint8)
     return out.tobytes()
 
@@ -109,6 +111,20 @@ def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
+def among(df: DataFrame, digests: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose digest is among ``digests``, and a few others by chance: a filter
+    of fixed size spares the others the way to an exact join."""
+    bits = df.sparkSession.sparkContext.broadcast(key_filter(digests.select(F.xxhash64("digest").alias("key")), "key"))
+
+    @F.pandas_udf("boolean")
+    def hit(x):  # noqa: ANN001, ANN202
+        import pandas as pd
+
+        return pd.Series(_passes(np.frombuffer(bits.value, np.uint8), x.to_numpy()))
+
+    return df.where(hit(F.xxhash64("digest")))
+
+
 # --------------------------------------------------------------------------- sets
 
 
@@ -145,7 +161,7 @@ def profiles(docs: DataFrame, k: int, like: Likeness, ranks: np.ndarray, id_col:
                     prefix.append(None)
                     parts.append(None)
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < SEEN:
                     seen.add(d)
                 order = np.argsort(sent.value[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
                 prefix.append(s[order[: like.prefix(len(s))]].view(np.int64))
@@ -165,14 +181,15 @@ def row_keys(id_col: str, text_col: str, key: str, proof: str) -> list[Column]:
 
 
 def shared_prefixes(sets: DataFrame) -> DataFrame:
-    """(token, digest, n, pos) of the prefix n-grams that two sets or more have.
+    """(token, size, digest, text_key, n, pos) of the prefix n-grams that two sets or more have;
+    size is how many.
 
     Most prefix n-grams are found once. They are counted, the few shared ones become a filter of
     fixed size, and only rows that pass it move on to the exact join.
     """
-    again = checkpointed(sets.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1"))
+    again = stored(sets.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "tokens")
     bits = sets.sparkSession.sparkContext.broadcast(key_filter(again, "token"))
-    schema = "token long, digest binary, n long, pos long"
+    schema = "token long, digest binary, text_key long, n long, pos long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.frombuffer(bits.value, np.uint8)
@@ -183,9 +200,13 @@ def shared_prefixes(sets: DataFrame) -> DataFrame:
             pos = np.arange(len(tokens)) - np.repeat(np.cumsum(at) - at, at)
             hit = _passes(own, tokens) if len(tokens) else np.zeros(0, bool)
             take = pa.array(row[hit])
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[hit], pa.int64()), b.column("digest").take(take), b.column("n").take(take), pa.array(pos[hit], pa.int64())], names=["token", "digest", "n", "pos"])
+            made = [pa.array(tokens[hit], pa.int64()), *(b.column(c).take(take) for c in ("digest", "text_key", "n")), pa.array(pos[hit], pa.int64())]
+            yield pa.RecordBatch.from_arrays(made, names=["token", "digest", "text_key", "n", "pos"])
 
-    return sets.select("digest", "n", "prefix").mapInArrow(run, schema).join(again.select("token"), "token", "left_semi")
+    rows = sets.select("digest", "text_key", "n", "prefix").mapInArrow(run, schema)
+    out = stored(rows.join(again, "token").select("token", "size", "digest", "text_key", "n", "pos"), "shared")
+    discard(again)
+    return out
 
 
 def wanted_sets(docs: DataFrame, keys: DataFrame, k: int, text_col: str) -> DataFrame:
@@ -202,7 +223,7 @@ def wanted_sets(docs: DataFrame, keys: DataFrame, k: int, text_col: str) -> Data
             take = []
             for i, x in zip(np.flatnonzero(hit), b.column("text_key").to_numpy()[hit].tolist(), strict=True):
                 if x not in seen:
-                    if len(seen) < 1_000_000:
+                    if len(seen) < SEEN:
                         seen.add(x)
                     take.append(i)
             for c in chunks(iter([b.take(pa.array(take, pa.int64()))]), "text"):
@@ -246,28 +267,30 @@ def _intersection(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def suffix_filtered(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
-    """The pairs (a, b) of digests whose counts by part allow a link."""
-    a, b = (sets.select(F.col("digest").alias(x), F.col("n").alias(f"n{x}"), F.col("parts").alias(f"p{x}")) for x in "ab")
+    """The pairs (a, ka, b, kb) of digests and text keys whose counts by part allow a link."""
+    used = among(sets.select("digest", "n", "parts"), _ends(pairs))
+    a, b = (used.select(F.col("digest").alias(x), F.col("n").alias(f"n{x}"), F.col("parts").alias(f"p{x}")) for x in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             need = like.overlap(batch.column("na").to_numpy(), batch.column("nb").to_numpy())
             sides = zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist(), need, strict=True)
             ok = [_most(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) >= m for x, y, m in sides]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            yield batch.select(["a", "ka", "b", "kb"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a binary, b binary")
+    return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a binary, ka long, b binary, kb long")
 
 
-def _grams_of(digests: DataFrame, sets: DataFrame, docs: DataFrame, k: int, text_col: str) -> DataFrame:
-    """(digest, grams) of these digests, from the texts read anew."""
-    return wanted_sets(docs, sets.select("digest", "text_key").join(digests, "digest", "left_semi").select("text_key"), k, text_col)
+def _ends(pairs: DataFrame) -> DataFrame:
+    """(digest, text_key) of both sides of pairs; repeats stay."""
+    return pairs.select(F.explode(F.array(F.struct(F.col("a").alias("digest"), F.col("ka").alias("text_key")), F.struct(F.col("b").alias("digest"), F.col("kb").alias("text_key")))).alias("x")).select("x.*")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, text_col: str, like: Likeness) -> DataFrame:
     """The pairs (a, b) of digests whose sets link; only the texts of these pairs are read anew."""
-    pairs = checkpointed(suffix_filtered(pairs, sets, like))
-    grams = _grams_of(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), sets, docs, k, text_col)
+    given = pairs if is_stored(pairs) else stored(pairs, "pairs")
+    left_over = stored(suffix_filtered(given, sets, like), "pairs")
+    grams = wanted_sets(docs, _ends(left_over), k, text_col)
     left, right = grams.select(F.col("digest").alias("a"), F.col("grams").alias("ga")), grams.select(F.col("digest").alias("b"), F.col("grams").alias("gb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,16 +301,18 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, text_co
                 ok = [_intersection(x, y) >= like.overlap(len(x), len(y)) for x, y in sides]
                 yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ga", "gb").mapInArrow(run, "a binary, b binary")
+    out = stored(left_over.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ga", "gb").mapInArrow(run, "a binary, b binary"), "links")
+    discard(given, left_over)
+    return out
 
 
-def _home_links(shared: DataFrame, sets: DataFrame, docs: DataFrame, k: int, text_col: str, like: Likeness) -> DataFrame:
+def _home_links(shared: DataFrame, docs: DataFrame, k: int, text_col: str, like: Likeness) -> DataFrame:
     """Links that connect large groups: each set goes once to the group of its commonest prefix
     n-gram, dealt into blocks of about HOME sets, and a task connects what links inside a block."""
-    sizes = shared.groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") >= LARGE)
-    home = shared.join(sizes, "token").groupBy("digest").agg(F.max(F.struct("size", "token")).alias("h")).select("digest", "h.*")
-    home = checkpointed(home.select("digest", "token", F.pmod(F.xxhash64("digest"), F.ceil(F.col("size") / HOME)).alias("block")))
-    grams = _grams_of(home.select("digest"), sets, docs, k, text_col)
+    first = F.max(F.struct("size", "token", "text_key")).alias("h")
+    home = shared.where(F.col("size") >= LARGE).groupBy("digest").agg(first).select("digest", "h.*")
+    home = stored(home.select("digest", "text_key", "token", F.pmod(F.xxhash64("digest"), F.ceil(F.col("size") / HOME)).alias("block")), "home")
+    grams = wanted_sets(docs, home, k, text_col)
 
     def run(table):  # noqa: ANN001, ANN202
         sets_ = [np.frombuffer(x, np.uint64) for x in table["grams"].to_pylist()]
@@ -295,7 +320,9 @@ def _home_links(shared: DataFrame, sets: DataFrame, docs: DataFrame, k: int, tex
         a, b = _forest(sets_, like)
         return pa.table({"a": pa.array([digests[i] for i in a], pa.binary()), "b": pa.array([digests[i] for i in b], pa.binary())})
 
-    return home.join(grams, "digest").groupBy("token", "block").applyInArrow(run, "a binary, b binary")
+    out = stored(home.select("digest", "token", "block").join(grams, "digest").groupBy("token", "block").applyInArrow(run, "a binary, b binary"), "links")
+    discard(home)
+    return out
 
 
 def _forest(sets: list[np.ndarray], like: Likeness) -> tuple[list[int], list[int]]:
@@ -318,20 +345,21 @@ def _forest(sets: list[np.ndarray], like: Likeness) -> tuple[list[int], list[int
     return a, b
 
 
-def _star_pairs(rows: DataFrame, like: Likeness, turn: int) -> DataFrame:
-    """Each row of a token against one of the token's sets, the next one in every ``turn``;
+def _star_pairs(rows: DataFrame, like: Likeness) -> DataFrame:
+    """Each row of a token against CENTERS of the token's sets, the first and the last by a hash;
     filtered by length and position. Distinct pairs a < b of sets in different classes."""
-    order = F.xxhash64("digest")
-    for _ in range(turn):
-        rows = rows.drop("passed") if "passed" in rows.columns else rows
-        rows = rows.join(rows.groupBy("token").agg(F.min(order).alias("passed")), "token")
-    left = rows.where(order > F.col("passed")) if turn else rows
-    center = left.groupBy("token").agg(F.min(F.struct(order.alias("h"), "digest", "n", "pos", "root")).alias("c"))
-    both = rows.join(center, "token").where(F.col("root") != F.col("c.root"))
+    one = F.struct(F.xxhash64("digest").alias("h"), "digest", "text_key", "n", "pos", "root")
+    centers = rows.groupBy("token").agg(F.min(one).alias("lo"), F.max(one).alias("hi"))
+    both = rows.join(centers.select("token", F.array("lo", "hi").alias("centers")), "token").select("*", F.explode("centers").alias("c")).where(F.col("root") != F.col("c.root"))
     need = F.ceil(F.lit(like.least) * (F.col("n") + F.col("c.n")) / F.lit(like.per + like.least) - F.lit(1e-9))
     most = F.least("pos", "c.pos") + 1 + F.least(F.expr("n - pos - 1"), F.expr("c.n - c.pos - 1"))
     near = both.where((F.least("n", "c.n") * like.per >= F.greatest("n", "c.n") * like.least) & (most >= need))
-    return near.select(F.least("digest", "c.digest").alias("a"), F.greatest("digest", "c.digest").alias("b")).distinct()
+    a, b = F.struct("digest", "text_key"), F.struct("c.digest", "c.text_key")
+    return _pairs(near.select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y")))
+
+
+def _pairs(xy: DataFrame) -> DataFrame:
+    return xy.select(F.col("x.digest").alias("a"), F.col("x.text_key").alias("ka"), F.col("y.digest").alias("b"), F.col("y.text_key").alias("kb")).distinct()
 
 
 def _block_pairs(rows: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
@@ -341,36 +369,42 @@ def _block_pairs(rows: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
     not all in one class. A token's rows are dealt into blocks of about BLOCK rows, and each pair
     of blocks is a group; a row goes to as many groups as its token has blocks.
     """
-    open_ = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where((F.col("lo") != F.col("hi")) & (F.col("size") > STAR_ROUNDS + 1))
-    open_ = open_.select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    here = rows.join(open_, "token").withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")).join(sets.select("digest", "parts"), "digest")
+    rows = rows.where(F.col("size") > CENTERS + 1)
+    open_ = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where(F.col("lo") != F.col("hi")).select("token")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    open_rows = stored(rows.join(open_, "token").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("digest"), "blocks").cast("int")), "open")
+    here = open_rows.join(among(sets.select("digest", "parts"), open_rows.select("digest")), "digest")
     dealt = here.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "n", "pos", "root", "parts"
+        "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "text_key", "n", "pos", "root", "parts"
     )
 
     def run(key, table):  # noqa: ANN001, ANN202
         i, j = key[1].as_py(), key[2].as_py()
-        n, pos, own = table["n"].to_numpy(), table["pos"].to_numpy(), table["own"].to_numpy()
-        digests, roots = table["digest"].to_pylist(), table["root"].to_pylist()
+        table = table.sort_by("n")
+        n, pos, own = (table[c].to_numpy() for c in ("n", "pos", "own"))
+        digests, keys, roots = (table[c].to_pylist() for c in ("digest", "text_key", "root"))
         parts = [np.frombuffer(x, np.uint8) for x in table["parts"].to_pylist()]
         label = {r: x for x, r in enumerate(dict.fromkeys(roots))}
         group = np.array([label[r] for r in roots])
-        a, b = [], []
+        after = n - pos
+        ends = np.searchsorted(n * like.least, n * like.per, "right")  # longer ones are too long
+        out: list[tuple] = []
         for x in range(len(n)):
-            ok = group != group[x]
-            ok[: x + 1] = False
+            y = slice(x + 1, int(ends[x]))
+            need = like.overlap(n[x], n[y])
+            ok = (group[y] != group[x]) & (np.minimum(pos[y], pos[x]) + np.minimum(after[y], after[x]) >= need)
             if i != j:
-                ok &= own != own[x]
-            need = like.overlap(n[x], n)
-            ok &= np.minimum(n, n[x]) >= need
-            ok &= np.minimum(pos, pos[x]) + np.minimum(n - pos, n[x] - pos[x]) >= need
-            for y in np.flatnonzero(ok):
-                if _most(parts[x], parts[y]) >= need[y]:
-                    a.append(min(digests[x], digests[y]))
-                    b.append(max(digests[x], digests[y]))
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-
-    return dealt.groupBy("token", "i", "j").applyInArrow(run, "a binary, b binary").distinct()
+                ok &= own[y] != own[x]
+            for at in np.flatnonzero(ok):
+                z = x + 1 + int(at)
+                if _most(parts[x], parts[z]) >= need[at]:
+                    out.append(min((digests[x], keys[x], digests[z], keys[z]), (digests[z], keys[z], digests[x], keys[x])))
+        a, ka, b, kb = zip(*out, strict=True) if out else ((), (), (), ())
+        return pa.table({"a": pa.array(a, pa.binary()), "ka": pa.array(ka, pa.int64()), "b": pa.array(b, pa.binary()), "kb": pa.array(kb, pa.int64())})
+
+    out = stored(dealt.groupBy("token", "i", "j").applyInArrow(run, "a binary, ka long, b binary, kb long").distinct(), "pairs")
+    discard(open_rows)
+    return out
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -394,29 +428,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col
     rows = stored(profiles(docs, k, like, rarity(docs, k, text_col), id_col, text_col), "profiles")
     first = [F.first(c).alias(c) for c in ("n", "prefix", "parts")]
     sets = stored(rows.where("prefix is not null").groupBy("digest").agg(*first, F.min("text_key").alias("text_key")), "sets")
-    shared = checkpointed(shared_prefixes(sets))
-    links = checkpointed(_home_links(shared, sets, docs, k, text_col, like))
-    for turn in range(STAR_ROUNDS):
-        now = checkpointed(_with_roots(shared, connected(links)))
-        links = links.unionByName(checkpointed(verified(_star_pairs(now, like, turn), sets, docs, k, text_col, like)))
-    now = checkpointed(_with_roots(shared, connected(links)))
-    links = links.unionByName(verified(_block_pairs(now, sets, like), sets, docs, k, text_col, like))
-    roots = connected(links)
-    least = rows.groupBy("digest").agg(F.min("id").alias("least"))
-    by_root = least.join(roots, least["digest"] == roots["node"], "left").select("digest", "least", F.coalesce("root", "digest").alias("root"))
-    smallest = by_root.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = by_root.join(smallest, "root").select("digest", "root", "component_id")
-    out = rows.select("id", "row_key", "row_proof", "n", "digest").join(named, "digest")
-    smallest = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
-    out = checkpointed(out.select("id", "row_key", "row_proof", "n", "root", smallest.alias("component_id")))
-    discard(rows, sets)
+    shared = shared_prefixes(sets)
+    classes = Classes()
+    classes.add(_home_links(shared, docs, k, text_col, like))
+    classes.add(verified(_star_pairs(classes.of(shared, "digest"), like), sets, docs, k, text_col, like))
+    classes.add(verified(_block_pairs(classes.of(shared, "digest"), sets, like), sets, docs, k, text_col, like))
+    plain = rows.select("id", "row_key", "row_proof", "n", "digest")
+    out = classes.of(plain, "digest")
+    # a class of one set has a link with nothing, but its copies share a component all the same
+    smallest = stored(out.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id")), "smallest")
+    out = out.join(smallest, "root", "left").select("id", "row_key", "row_proof", "n", "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    out = stored(out, "components")
+    discard(rows, sets, shared, smallest, *classes.files())
     return out
 
 
-def _with_roots(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    return shared.join(roots, shared["digest"] == roots["node"], "left").select(*shared.columns, F.coalesce("root", "digest").alias("root"))
-
-
 def keep_smallest(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with the smallest id of each component, with all their columns.
 
@@ -426,7 +452,7 @@ def keep_smallest(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col:
     keys = ["row_key", "row_proof"]
     found = near_duplicates(docs, k, least_percent, id_col, text_col).where("n > 0")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", *keys)).alias("x")
-    best = checkpointed(found.groupBy("root").agg(first).select("x.row_key", "x.row_proof"))
+    best = stored(found.groupBy("root").agg(first).select("x.row_key", "x.row_proof"), "best")
     # most rows are the only one of their component: those outside this filter of fixed size stay
     # without moving; the others are looked up among the best
     gone = found.join(best, keys, "left_anti").select("row_key").unionByName(found.groupBy(*keys).count().where("count > 1").select("row_key"))
