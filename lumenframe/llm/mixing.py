@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import Words, checkpointed, chunks, ship, utf8
+from .common import Words, chunks, ship, stored, utf8
 
-#: Distinct membership patterns that the flow on the driver takes; more raise an error.
-MAX_PATTERNS = 100_000
+#: Patterns up to which their plan is sent to every task; a larger plan meets the rows by a join.
+SENT_PATTERNS = 100_000
 #: Bits of the seeded hash that name a slice of a pattern; only one slice is ever sorted.
 SLICE_BITS = 12
 #: Rounds that fill what is left of a pattern's quota with the best fitting documents.
@@ -157,16 +157,16 @@ def mix(
     than ``max_repeat`` times. The result does not depend on partitions; reruns agree.
 
     A null text has size 0; documents of size 0 are never taken. Null is a source like others.
-    Repeated rows share a hash and are taken together. An empty table gives an empty result.
-    Sums by pattern and by slice of a pattern are made before rows move; only one slice in
-    2**SLICE_BITS of a pattern is sorted in one task. The driver gets one row per pattern, up to
-    MAX_PATTERNS, else it raises ValueError.
+    Repeated rows (equal id and text) are one row with a count until the end, and as many of
+    them are taken as fit. An empty table gives an empty result. Sums by pattern and by slice of
+    a pattern are made before rows move; only one slice in 2**SLICE_BITS of a pattern is sorted
+    in one task. The driver holds one row per pattern, not per document.
     """
     spark = docs.sparkSession
-    rows = checkpointed(word_sizes(docs, id_col, F.sort_array(F.array_distinct(members)), text_col, seed).withColumn("pattern", F.to_json("members")))
-    found = rows.groupBy("pattern").agg(F.first("members").alias("members"), F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+    sized = word_sizes(docs, id_col, F.sort_array(F.array_distinct(members)), text_col, seed).withColumn("pattern", F.to_json("members"))
+    rows = stored(sized.groupBy("pattern", "id", "h", "size").agg(F.first("members").alias("members"), F.count("*").alias("copies")), "sizes")
+    all_words = (F.col("size") * F.col("copies")).alias("size")
+    found = rows.groupBy("pattern").agg(F.first("members").alias("members"), F.sum(all_words).alias("size")).collect()
     found.sort(key=lambda r: r.pattern)
     sizes: dict = {}
     for r in found:
@@ -178,65 +178,114 @@ def mix(
     for r, f in zip(found, flow, strict=True):
         words = min(sum(f.values()), max_repeat * r.size)
         whole = words // r.size if r.size else 0
-        plan.append((r.pattern, int(whole), int(words - whole * r.size)))
-    plan_df = F.broadcast(spark.createDataFrame(plan, "pattern string, whole long, rest long"))
+        plan.append((r.pattern, int(whole), int(words - whole * r.size), [sizes[s] for s in r.members], [float(wanted[s]) for s in r.members]))
+    plan_df = _sent(spark, plan, "pattern string, whole long, rest long, source_sizes array<long>, targets array<double>")
 
     slice_ = F.shiftrightunsigned("h", 64 - SLICE_BITS)
-    sums = rows.groupBy("pattern", slice_.alias("slice")).agg(F.sum("size").alias("size"))
+    sums = rows.groupBy("pattern", slice_.alias("slice")).agg(F.sum(all_words).alias("size"))
     upto = F.sum("size").over(Window.partitionBy("pattern").orderBy("slice"))
     edges = (
-        sums.withColumn("upto", upto).join(plan_df, "pattern").where("upto > rest").groupBy("pattern", "rest").agg(F.min(F.struct("slice", F.expr("upto - size").alias("before"))).alias("x"))
+        sums.withColumn("upto", upto).join(plan_df.select("pattern", "rest"), "pattern").where("upto > rest").groupBy("pattern", "rest").agg(F.min(F.struct("slice", F.expr("upto - size").alias("before"))).alias("x"))
         .select("pattern", "rest", "x.slice", "x.before").collect()
     )
-    edge_df = F.broadcast(spark.createDataFrame([tuple(e) for e in edges], "pattern string, rest long, slice long, before long"))
+    edge_df = _sent(spark, [tuple(e) for e in edges], "pattern string, rest long, slice long, before long")
     inside = rows.withColumn("slice", slice_).join(edge_df, ["pattern", "slice"])
-    upto = F.col("before") + F.sum("size").over(Window.partitionBy("pattern").orderBy("h"))
+    upto = F.col("before") + F.sum(all_words).over(Window.partitionBy("pattern").orderBy("h"))
     cuts = {r.pattern: r.cut for r in inside.select("pattern", "h", "rest", upto.alias("upto")).where("upto <= rest").groupBy("pattern").agg(F.max("h").alias("cut")).collect()}
     edge = {e.pattern: e.slice for e in edges}
-    limits = F.broadcast(
-        spark.createDataFrame([(p, w, r, edge.get(p, 1 << SLICE_BITS), cuts.get(p)) for p, w, r in plan], "pattern string, whole long, rest long, edge long, cut long")
-    )
+    limits = _sent(spark, [(p, r, edge.get(p, 1 << SLICE_BITS), cuts.get(p)) for p, _, r, _, _ in plan], "pattern string, rest long, edge long, cut long")
     first = (slice_ < F.col("edge")) | ((slice_ == F.col("edge")) & F.coalesce(F.col("h") <= F.col("cut"), F.lit(False)))
-    marked = rows.join(limits, "pattern").withColumn("more", first & (F.col("rest") > 0))
+    marked = rows.join(limits, "pattern").withColumn("more", F.when(first & (F.col("rest") > 0), F.col("copies")).otherwise(0))
 
-    extra: list[tuple[str, int]] = []
+    extra: list[tuple[str, int, int]] = []
     for _ in range(FILL_ROUNDS):
         now = _with_extra(spark, marked, extra)
-        left = now.groupBy("pattern").agg((F.first("rest") - F.sum(F.when(F.col("more"), F.col("size")).otherwise(0))).alias("left")).where("left > 0")
-        fits = now.where("not more and size > 0").join(F.broadcast(left), "pattern").where("size <= left")
-        best = fits.groupBy("pattern").agg(F.max(F.struct("size", "h")).alias("x")).select("pattern", "x.h").collect()
+        left = _left(now)
+        fits = now.where("more < copies and size > 0").join(left, "pattern").where("size <= left")
+        best = fits.groupBy("pattern").agg(F.max(F.struct("size", "h", F.least(F.expr("copies - more"), F.expr("left div size")).alias("n"))).alias("x")).select("pattern", "x.h", "x.n").collect()
         if not best:
             break
         extra += [tuple(r) for r in best]
     now = _with_extra(spark, marked, extra)
-    left = now.groupBy("pattern").agg((F.first("rest") - F.sum(F.when(F.col("more"), F.col("size")).otherwise(0))).alias("left")).where("left > 0")
-    best = now.where("not more and size > 0").groupBy("pattern").agg(F.max(F.struct("size", "id", "h")).alias("x"))
-    parts = [tuple(r) for r in best.join(F.broadcast(left), "pattern").select("pattern", "x.h", F.least("x.size", "left").alias("part")).collect()]
-    part_df = F.broadcast(spark.createDataFrame(parts, "pattern string, h long, part long"))
-    out = now.join(part_df, ["pattern", "h"], "left").withColumn("part", F.when(F.col("more"), 0).otherwise(F.coalesce("part", F.lit(0))))
-    out = out.withColumn("repeats", F.when(F.col("size") > 0, F.col("whole") + F.col("more").cast("long")).otherwise(0))
-    return out.select(
-        "id", "members", "size", "repeats", (F.col("size") * F.col("repeats") + F.col("part")).alias("taken"), _looked_up(spark, F.col("members"), sizes, "long").alias("source_sizes"), _looked_up(spark, F.col("members"), wanted, "double").alias("targets"), "h"
-    )
+    best = now.where("more < copies and size > 0").groupBy("pattern").agg(F.max(F.struct("size", "id", "h")).alias("x"))
+    parts = [tuple(r) for r in best.join(_left(now), "pattern").select("pattern", "x.h", F.least("x.size", "left").alias("part")).collect()]
+    part_df = _sent(spark, parts, "pattern string, h long, part long")
+    out = now.drop("rest").join(part_df, ["pattern", "h"], "left").join(plan_df, "pattern")
+    out = out.withColumn("turn", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    out = out.withColumn("part", F.when(F.expr("turn = more + 1"), F.coalesce("part", F.lit(0))).otherwise(0))
+    out = out.withColumn("repeats", F.when(F.col("size") > 0, F.col("whole") + F.expr("turn <= more").cast("long")).otherwise(0))
+    return out.select("id", "members", "size", "repeats", (F.col("size") * F.col("repeats") + F.col("part")).alias("taken"), "source_sizes", "targets", "h", "part")
+
+
+def _sent(spark, rows: list[tuple], schema: str) -> DataFrame:  # noqa: ANN001
+    """A table of one row per pattern, sent to every task if it is small."""
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= SENT_PATTERNS else df
+
+
+def _few(rows: DataFrame) -> DataFrame:
+    """``rows``, a few for each pattern, sent to every task if they are few indeed."""
+    return F.broadcast(rows) if rows.count() <= SENT_PATTERNS else rows
 
 
-def _with_extra(spark, marked: DataFrame, extra: list[tuple[str, int]]) -> DataFrame:  # noqa: ANN001
+def _left(now: DataFrame) -> DataFrame:
+    """Words that each pattern still misses."""
+    return now.groupBy("pattern").agg((F.first("rest") - F.sum(F.col("more") * F.col("size"))).alias("left")).where("left > 0")
+
+
+def _with_extra(spark, marked: DataFrame, extra: list[tuple[str, int, int]]) -> DataFrame:  # noqa: ANN001
     if not extra:
         return marked
-    more = F.broadcast(spark.createDataFrame(extra, "pattern string, h long").distinct().withColumn("added", F.lit(True)))
-    return marked.join(more, ["pattern", "h"], "left").withColumn("more", F.col("more") | F.coalesce("added", F.lit(False))).drop("added")
+    sums: dict = {}
+    for p, h, n in extra:
+        sums[p, h] = sums.get((p, h), 0) + n
+    added = _sent(spark, [(p, h, n) for (p, h), n in sums.items()], "pattern string, h long, added long")
+    return marked.join(added, ["pattern", "h"], "left").withColumn("more", F.col("more") + F.coalesce("added", F.lit(0))).drop("added")
+
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str, seed: int) -> DataFrame:
+    return docs.withColumns({"__id": F.col(id_col), "__h": F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))})
 
-def _looked_up(spark, members: Column, values: dict, kind: str) -> Column:  # noqa: ANN001
-    """The values of an array of sources; the null source has a key of its own."""
-    names = [s for s in values if s is not None]
-    table = F.map_from_arrays(F.array(*[F.lit(s) for s in names]).cast("array<string>"), F.array(*[F.lit(values[s]) for s in names]).cast(f"array<{kind}>"))
-    return F.transform(members, lambda s: F.when(s.isNull(), F.lit(values.get(None)).cast(kind)).otherwise(F.try_element_at(table, s)))
+
+def _same(a: DataFrame, b: DataFrame) -> Column:
+    return (a["__h"] == b["__key"]) & a["__id"].eqNullSafe(b["__of"])
 
 
 def repeated(docs: DataFrame, mixed_rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 17) -> DataFrame:
-    """The mix itself: rows of ``docs`` as often as ``mixed_rows`` takes them whole, with all their columns."""
-    taken = mixed_rows.where("repeats > 0").groupBy(F.col("id").alias("__id"), F.col("h").alias("__h")).agg(F.max("repeats").alias("__n"))
-    own = docs.withColumn("__h", F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)))
-    joined = own.join(taken, (own["__h"] == taken["__h"]) & own[id_col].eqNullSafe(taken["__id"]))
-    return joined.withColumn("__turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n")))).select(*[own[c] for c in docs.columns])
+    """The mix itself: rows of ``docs`` as often as ``mixed_rows`` takes them whole, with all their columns.
+
+    Repeated rows of which only some are taken (few such rows in a pattern, but each may have
+    many copies) are numbered: within each task of the scan, after the copies of earlier tasks.
+    """
+    times = mixed_rows.groupBy(F.col("id").alias("__of"), F.col("h").alias("__key")).agg(F.min("repeats").alias("__lo"), F.max("repeats").alias("__hi"), F.count_if(F.col("part") > 0).alias("__cut"), F.sum("repeats").alias("__sum"), F.count("*").alias("__copies"))
+    times = stored(times.where("__hi > 0").withColumn("__more", F.expr("__sum - __copies * __lo")), "times")
+    own = _keyed(docs, id_col, text_col, seed)
+    even = times.where("__lo = __hi").select("__of", "__key", "__lo", "__hi", "__more")
+    odd = _few(times.where("__lo < __hi").select("__of", "__key", "__lo", "__hi", "__more"))
+    rows = own.join(even, _same(own, even)).withColumn("__n", F.col("__lo"))
+    some = own.withColumn("__task", F.spark_partition_id()).withColumn("__row", F.monotonically_increasing_id())
+    some = some.join(odd, _same(some, odd))
+    before = some.groupBy("__key", "__of", "__task").agg(F.count("*").alias("__here"))
+    before = before.withColumn("__before", F.sum("__here").over(Window.partitionBy("__key", "__of").orderBy("__task")) - F.col("__here"))
+    before = before.select(F.col("__key").alias("__k"), F.col("__of").alias("__o"), F.col("__task").alias("__t"), "__before")
+    place = F.row_number().over(Window.partitionBy("__key", "__of", "__task").orderBy("__row"))
+    some = some.withColumn("__place", place)
+    some = some.join(before, (some["__key"] == before["__k"]) & some["__of"].eqNullSafe(before["__o"]) & (some["__task"] == before["__t"]))
+    some = some.withColumn("__n", F.expr("if(__before + __place <= __more, __hi, __lo)"))
+    both = rows.select(*docs.columns, "__n").unionByName(some.select(*docs.columns, "__n")).where("__n > 0")
+    return both.withColumn("__turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n")))).select(*docs.columns)
+
+
+def cut(docs: DataFrame, mixed_rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 17) -> DataFrame:
+    """The documents that the mix takes in part, one of a pattern at most, cut after that many
+    words; all other columns as they are."""
+    parts = _few(mixed_rows.where("part > 0").select(F.col("id").alias("__of"), F.col("h").alias("__key"), "part"))
+    own = _keyed(docs, id_col, text_col, seed)
+    found = own.join(parts, _same(own, parts)).dropDuplicates(["__h", "__id"])
+
+    @F.udf("string")
+    def first_words(text, n):  # noqa: ANN001, ANN202
+        data, offsets = utf8(pa.array([text]))
+        return data.tobytes()[: int(Words(data, offsets).ends[n - 1])].decode()
+
+    return found.withColumn(text_col, first_words(F.col(text_col), F.col("part"))).select(*docs.columns)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 from collections import defaultdict
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -84,7 +85,40 @@ def test_repeated_rows_of_the_mix(docs):
     assert out.count() == mixed.agg(F.sum("repeats")).first()[0]
 
 
+@pytest.mark.parametrize("copies", [2, 4, 100])
+def test_equal_rows_meet_the_target(spark, copies):
+    docs = spark.createDataFrame([(1, "w " * 10, "a", i) for i in range(copies)], "doc_id long, text string, source string, more long").repartition(7)
+    mixed = mixing.mix(docs, mixing.cycled_targets, F.array("source"))
+    rows = mixed.collect()
+    assert len(rows) == copies
+    assert sum(r.taken for r in rows) == 15 * copies
+    assert all(r.taken <= 20 for r in rows)
+    out = mixing.repeated(docs, mixed)
+    seen = [r.more for r in out.collect()]
+    assert len(seen) == sum(r.repeats for r in rows)
+    assert set(seen) == set(range(copies)) and max(seen.count(i) for i in seen) <= 2
+
+
+def test_document_taken_in_part(spark):
+    docs = spark.createDataFrame([(1, "a b\tc  d e", "x")], "doc_id long, text string, source string")
+    mixed = mixing.mix(docs, lambda sizes: {"x": 3.0}, F.array("source"))
+    assert [(r.taken, r.repeats, r.part) for r in mixed.collect()] == [(3, 0, 3)]
+    assert mixing.repeated(docs, mixed).collect() == []
+    assert [tuple(r) for r in mixing.cut(docs, mixed).collect()] == [(1, "a b\tc", "x")]
+
+
+def test_many_patterns(spark, monkeypatch):
+    """Plans that are not sent to every task."""
+    monkeypatch.setattr(mixing, "SENT_PATTERNS", 3)
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 5), f"s{i % 20}") for i in range(200)], "doc_id long, text string, source string")
+    mixed = mixing.mix(docs, mixing.cycled_targets, F.array("source"))
+    for r in mixed.groupBy(F.col("members")[0].alias("s")).agg(F.sum("taken").alias("taken"), F.first("targets").alias("t")).collect():
+        assert abs(r.taken - r.t[0]) <= 1
+    assert mixing.repeated(docs, mixed).count() == mixed.agg(F.sum("repeats")).first()[0]
+
+
 def test_empty_table(no_docs):
     mixed = mixing.mix(no_docs, mixing.cycled_targets, F.array("source"))
     assert mixed.collect() == []
     assert mixing.repeated(no_docs, mixed).collect() == []
+    assert mixing.cut(no_docs, mixed).collect() == []
