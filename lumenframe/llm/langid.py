@@ -14,11 +14,12 @@ from pyspark.sql.window import Window
 
 from .common import chunks, ship, utf8
 
-#: Labelled texts that training takes at most, over all languages and for each.
+#: Labelled texts that training takes at most, over all languages (but one of each language at
+#: least, however many there are) and for each.
 MAX_TEXTS = 4000
 MAX_TEXTS_EACH = 600
-#: Languages that a model can learn.
-MAX_LANGUAGES = 500
+#: Windows of a text that training takes at most.
+MAX_WINDOWS = 6
 
 WINDOW = 192  # bytes
 WIDTHS = (2, 3, 4)
@@ -171,38 +172,38 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", only:
     by a hash of text and language; rows whose text or language is null, or without a letter,
     are left out. Windows of a text are spread over the whole of it.
     """
+    ship(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     rows = rows.where(only) if only is not None else rows
-    h = F.xxhash64(text_col, lang_col)
-    counts = rows.groupBy(F.col(lang_col).cast("string").alias("lang")).agg(F.count_distinct(h).alias("count")).orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col, lang_col).alias("h"))
+    counts = rows.groupBy("lang").agg(F.count_distinct("h").alias("count")).collect()
     if not counts:
         return None
-    each = min(MAX_TEXTS_EACH, MAX_TEXTS // len(counts))
-    rate = F.create_map(*[x for r in counts for x in (F.lit(r.lang), F.lit(min(1.0, 1.3 * max(1, each) / r["count"])))])
-    drawn = (
-        rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), h.alias("h"))
-        .where((F.pmod("h", F.lit(1 << 20)) / float(1 << 20)) < F.try_element_at(rate, F.col("lang")))
-        .dropDuplicates(["lang", "h"])
-    )
+    each = max(1, min(MAX_TEXTS_EACH, MAX_TEXTS // len(counts)))
+    # a few more than are needed by the hash; of a language with few texts, all
+    rates = docs.sparkSession.createDataFrame([(r.lang, min(1.0, 1.3 * each / r["count"] + 8 / r["count"])) for r in counts], "lang string, rate double")
+    drawn = rows.join(rates, "lang").where((F.pmod("h", F.lit(1 << 20)) / float(1 << 20)) < F.col("rate")).dropDuplicates(["lang", "h"])
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    got = drawn.withColumn("place", place).where(F.col("place") <= max(1, each)).collect()
+    few = drawn.withColumn("place", place).where(F.col("place") <= each).select("lang", "h", "text")
+
+    def some_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches, "text"):
+            out = []
+            for t in b.column("text").to_pylist():
+                data = SYMBOL[np.frombuffer(t.encode("utf-8", "replace"), np.uint8)]
+                x, _ = windows(data, np.array([0, len(data)]))
+                x = x[np.unique(np.linspace(0, len(x) - 1, MAX_WINDOWS).astype(int))]
+                x = x[(x > 0).sum(axis=1) >= min(16, max(1, (x > 0).sum(axis=1).max()))]
+                out.append(x.astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("h"), pa.array(out, pa.binary())], names=["lang", "h", "windows"])
+
+    got = few.mapInArrow(some_windows, "lang string, h long, windows binary").collect()
     got.sort(key=lambda r: (r.h, r.lang))
-    languages = sorted({r.lang for r in got if any(map(str.isalpha, r.text))})
-    if not languages:
-        return None
-    taken = dict.fromkeys(languages, 0)
-    xs, ys = [], []
-    for r in got:
-        if r.lang in taken and taken[r.lang] < max(1, each) and any(map(str.isalpha, r.text)):
-            taken[r.lang] += 1
-            data = SYMBOL[np.frombuffer(r.text.encode("utf-8", "replace"), np.uint8)]
-            x, _ = windows(data, np.array([0, len(data)]))
-            x = x[np.unique(np.linspace(0, len(x) - 1, 6).astype(int))]
-            x = x[(x > 0).sum(axis=1) >= min(16, max(1, (x > 0).sum(axis=1).max()))]
-            xs.append(x)
-            ys += [languages.index(r.lang)] * len(x)
+    languages = sorted({r.lang for r in got})
     model = Model(languages)
     if len(languages) > 1:
+        xs = [np.frombuffer(r.windows, np.uint8).reshape(-1, WINDOW).astype(np.int32) for r in got]
+        ys = [languages.index(r.lang) for r, x in zip(got, xs, strict=True) for _ in range(len(x))]
         model.fit(np.concatenate(xs), np.array(ys))
     return model
 

@@ -96,3 +96,10 @@ def test_copies_leave_room_for_other_languages(spark, monkeypatch):
     rows = [(k, text, "aa") for k in range(1000)] + [(2000 + k, f"quite other {k}", "bb") for k in range(5)]
     model = L.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert model.languages == ["aa", "bb"]
+
+
+def test_every_language_is_learned(spark):
+    """More languages than any fixed number of places."""
+    rows = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} " * 12, f"l{i:03d}") for i in range(600)]
+    model = L.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 600
