@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import html as entities
 import re
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -144,32 +143,81 @@ def lines_of(html: str | None) -> list[Line]:
 NEAR = 8
 _LENGTH = (1 << 19) - 1
 
+#: Bits of the table of one alignment that are held at once; longer pages are halved.
+ALIGN_BITS = 1 << 29
+
+
 def shared_lines(a: list[int], b: list[int]) -> set[int]:
-    """Places in ``a`` of a longest common subsequence of ``a`` and ``b``."""
+    """Places in ``a`` of a longest common subsequence of ``a`` and ``b``.
+
+    A row of the table is one whole number with a bit for each line of ``b``, so equal lines cost
+    no more than others; where the table is large, ``a`` is halved as often as needed.
+    """
     lo, hi = 0, 0
     while lo < min(len(a), len(b)) and a[lo] == b[lo]:
         lo += 1
     while hi < min(len(a), len(b)) - lo and a[-1 - hi] == b[-1 - hi]:
         hi += 1
     out = {*range(lo), *range(len(a) - hi, len(a))}
-    places: dict[int, list[int]] = {}
-    for j in range(len(b) - hi - 1, lo - 1, -1):
-        places.setdefault(b[j], []).append(j)  # from the last on
-    tails: list[int] = []  # smallest last place in b of a common subsequence of each length
-    links: list[tuple] = []
-    for i in range(lo, len(a) - hi):
-        for j in places.get(a[i], ()):
-            k = bisect_left(tails, j)
-            link = (i, links[k - 1] if k else None)
-            if k == len(tails):
-                tails.append(j)
-                links.append(link)
-            elif j < tails[k]:
-                tails[k], links[k] = j, link
-    link = links[-1] if links else None
-    while link:
-        out.add(link[0])
-        link = link[1]
+    here, there = set(a[lo : len(a) - hi]), set(b[lo : len(b) - hi])
+    own = [i for i in range(lo, len(a) - hi) if a[i] in there]  # others are in no common subsequence
+    other = [x for x in b[lo : len(b) - hi] if x in here]
+    todo = [(own, other)]
+    while todo:
+        own, other = todo.pop()
+        if not own or not other:
+            continue
+        values = [a[i] for i in own]
+        if len(own) * len(other) <= ALIGN_BITS or len(own) == 1:
+            out.update(own[i] for i in _aligned(values, other))
+            continue
+        half = len(own) // 2
+        left, right = _lengths(values[:half], other), _lengths(values[half:][::-1], other[::-1])[::-1]
+        j = int(np.argmax(left + right))
+        todo += [(own[:half], other[:j]), (own[half:], other[j:])]
+    return out
+
+
+def _rows(a: list[int], b: list[int]) -> Iterator[int]:
+    """After each of ``a``, a number whose bit j is 0 where b[j] lengthens the common subsequence."""
+    full, at = (1 << len(b)) - 1, {}
+    for j, x in enumerate(b):
+        at.setdefault(x, []).append(j)
+    masks = {x: sum(1 << j for j in places) if len(places) < 64 else _bits(places, len(b)) for x, places in at.items()}
+    row = full
+    for x in a:
+        hit = row & masks.get(x, 0)
+        row = ((row + hit) | (row - hit)) & full
+        yield row
+
+
+def _bits(places: list[int], n: int) -> int:
+    marks = np.zeros(n, np.uint8)
+    marks[places] = 1
+    return int.from_bytes(np.packbits(marks, bitorder="little").tobytes(), "little")
+
+
+def _lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Lengths of longest common subsequences of ``a`` and each beginning of ``b``."""
+    row = (1 << len(b)) - 1
+    for row in _rows(a, b):
+        pass
+    marks = np.unpackbits(np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.concatenate([[0], np.cumsum(1 - marks.astype(np.int64))])
+
+
+def _aligned(a: list[int], b: list[int]) -> list[int]:
+    rows = [(1 << len(b)) - 1, *_rows(a, b)]
+    j, out = len(b), []
+    length = j - rows[-1].bit_count()
+    for i in range(len(a), 0, -1):
+        if not length:
+            break
+        below = (1 << j) - 1
+        if j - (rows[i - 1] & below).bit_count() < length:  # without a[i - 1] it would be shorter
+            out.append(i - 1)
+            j = (~rows[i] & below).bit_length() - 1
+            length -= 1
     return out
 
 

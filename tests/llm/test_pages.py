@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -47,6 +49,25 @@ def test_alignment_is_longest(a, b):
     assert all(a[i] in rest for i in got)  # a subsequence of b
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=40), st.lists(st.integers(0, 3), max_size=40))
+def test_alignment_in_halves_is_longest(a, b):
+    before, P.ALIGN_BITS = P.ALIGN_BITS, 20
+    try:
+        got = sorted(P.shared_lines(a, b))
+    finally:
+        P.ALIGN_BITS = before
+    assert len(got) == lcs(a, b)
+    rest = iter(b)
+    assert all(a[i] in rest for i in got)
+
+
+def test_many_equal_lines_align_quickly():
+    began = time.process_time()
+    assert len(P.shared_lines([1] + [7] * 20_000 + [2], [3] + [7] * 20_000 + [4])) == 20_000
+    assert time.process_time() - began < 2
+
+
 def test_nearest_page_decides(spark):
     def page(*blocks):
         return "<body>" + "".join(f"<p>{b}</p>" for b in blocks) + "</body>"
