@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import ship, stored
 
-#: Rules that may be sent to every task; with more, ``match_urls`` joins by host instead.
+#: Rules that may be sent to every task; more are sorted and swept with the URLs, by ranges.
 MAX_SENT_RULES = 200_000
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 @dataclass(frozen=True)
@@ -30,7 +33,7 @@ class Rule:
     def parse(line: str) -> Rule:
         verdict, place = line.split(maxsplit=1)
         host, slash, path = place.partition("/")
-        return Rule(verdict, host.lower(), slash + path)
+        return Rule(verdict, host, slash + path)
 
 
 def host_of(url: Column) -> Column:
@@ -39,7 +42,7 @@ def host_of(url: Column) -> Column:
 
 
 def _lower(host: Column) -> Column:
-    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.translate(host, _UPPER, _LOWER)
 
 
 def path_of(url: Column) -> Column:
@@ -122,21 +125,23 @@ def match_urls(pages: DataFrame, rules: list[Rule] | DataFrame, url_col: str = "
     ``default``. Of the fitting rules the longest ``host/path`` wins, then the longer host; of
     equal rules, block. Rows repeat as they do in ``pages``.
 
-    ``rules``: a list, or a DataFrame (verdict, host, path), whose hosts are lower-cased as those
-    of pages are and whose rows with a null are left out, whatever their number. Up to MAX_SENT_RULES are sent to
-    every task, where each batch is sorted by its reversed-host keys and swept against the
-    intervals. Beyond that, each page is joined with the rules of its own host and of the
-    domains around it, by equality, and the longest wins.
+    ``rules``: a list, or a DataFrame (verdict, host, path); A-Z in hosts are lower-cased as in
+    those of pages, and rows with a null are left out. Up to MAX_SENT_RULES are sent to every
+    task, where each batch is sorted by its reversed-host keys and swept against the intervals.
+    More are put in one order with the URLs and swept range by range (see ``_ranged``).
     """
     names = {n: f"{prefix}{n}" for n in ("host", "path", "rule", "verdict")}
     pages = pages.drop(*names.values()).withColumns({names["host"]: host_of(F.col(url_col)), names["path"]: path_of(F.col(url_col))})
     if isinstance(rules, DataFrame):
         rules = rules.select("verdict", _lower(F.col("host")).alias("host"), "path").dropna()
-        got = rules.limit(MAX_SENT_RULES + 1).collect()
-        if len(got) > MAX_SENT_RULES:
-            return _joined(pages, rules, names, default)
-        rules = [Rule(r.verdict, r.host, r.path) for r in got]
+        if rules.count() > MAX_SENT_RULES:
+            return _ranged(pages, rules, names, default)
+        rules = [Rule(*r) for r in rules.collect()]
+    rules = [Rule(r.verdict, r.host.translate(str.maketrans(_UPPER, _LOWER)), r.path) for r in rules]
     ship(pages.sparkSession)
+    if len(rules) > MAX_SENT_RULES:
+        table = pages.sparkSession.createDataFrame([(r.verdict, r.host, r.path) for r in rules], "verdict string, host string, path string")
+        return _ranged(pages, table, names, default)
     sweep, host, path = Sweep(rules), names["host"], names["path"]
 
     @F.pandas_udf("struct<rule string, verdict string>")
@@ -151,18 +156,66 @@ def match_urls(pages: DataFrame, rules: list[Rule] | DataFrame, url_col: str = "
     ).drop("__found")
 
 
-def _joined(pages: DataFrame, rules: DataFrame, names: dict[str, str], default: str) -> DataFrame:
+def _ranged(pages: DataFrame, rules: DataFrame, names: dict[str, str], default: str) -> DataFrame:
+    """The sort-merge range join for any number of rules.
+
+    A rule is the interval of keys that start with its own: its reversed host, a zero byte, its
+    path. A URL is one point for its host and one for each domain around it. Intervals nest, so
+    one sweep over both in key order keeps a stack of the active rules, whose last one is the
+    longest for the point. Tasks take ranges of keys; a rule that is still active at the first
+    key of a later range (found from these first keys, one per task) is sent there as well.
+    """
     host, path = names["host"], names["path"]
+    zero = F.lit("\0")
+    reverse = lambda labels: F.concat(F.array_join(F.reverse(labels), "."), F.lit("."))
     labels = F.split(F.col(host), r"\.")
-    around = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    points = pages.select(host, path).distinct()  # a hot URL is looked up once
-    own = rules.select("verdict", F.col("host").alias("__host"), F.col("path").alias("__path"))
-    rank = F.struct(
-        (F.length("__host") + F.length("__path")).alias("n"), F.length("__host").alias("h"), (F.col("verdict") == "block").alias("b"), F.concat("__host", "__path").alias("rule"), "verdict"
-    )
-    best = (
-        points.withColumn("__host", F.explode(around)).join(own, "__host").where(F.expr(f"startswith(`{path}`, __path)")).groupBy(host, path).agg(F.max(rank).alias("__best"))
-    )
-    return pages.join(best, [host, path], "left").withColumns(
-        {names["rule"]: F.col("__best.rule"), names["verdict"]: F.coalesce("__best.verdict", F.lit(default))}
-    ).drop("__best")
+    around = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat(reverse(F.slice(labels, i, F.size(labels))), zero, F.col(path)))
+    points = pages.select(host, path).distinct().select(F.explode(around).alias("key"), F.col(host).alias("host"), F.col(path).alias("path"), F.lit(None).cast("string").alias("verdict"))
+    # of equal rules, block counts
+    own = rules.groupBy("host", "path").agg(F.max(F.struct((F.col("verdict") == "block").alias("b"), "verdict")).alias("x"))
+    own = own.select(F.concat(reverse(F.split("host", r"\.")), zero, F.col("path")).alias("key"), "host", "path", F.col("x.verdict").alias("verdict"))
+    binary = F.col("key").cast("binary")
+    both = own.unionByName(points).withColumn("key", binary).withColumn("point", F.col("verdict").isNull())
+    ordered = stored(both.repartitionByRange("key", "point").sortWithinPartitions("key", "point").withColumn("part", F.spark_partition_id()), "ranges")
+    firsts = sorted((bytes(r.key), r.part) for r in ordered.groupBy("part").agg(F.min("key").alias("key")).collect())
+    keys = [k for k, _ in firsts]
+
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, parts = [], []
+            for i, (key, part) in enumerate(zip(b.column("key").to_pylist(), b.column("part").to_pylist(), strict=True)):
+                at = bisect_left(keys, key)
+                while at < len(keys) and keys[at].startswith(key):
+                    if firsts[at][1] != part:
+                        rows.append(i)
+                        parts.append(firsts[at][1])
+                    at += 1
+            out = b.take(pa.array(rows, pa.int64()))
+            yield out.set_column(out.schema.get_field_index("part"), "part", pa.array(parts, pa.int32()))
+
+    active = ordered.where("not point").mapInArrow(spans, ordered.schema)
+    all_rows = ordered.unionByName(active).repartition(max(1, len(firsts)), "part").sortWithinPartitions("part", "key", "point")
+
+    def swept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stack: list[tuple] = []
+        now = None
+        for b in batches:
+            out: list[tuple] = []
+            for key, h, p, verdict, point, part in zip(*(b.column(c).to_pylist() for c in ("key", "host", "path", "verdict", "point", "part")), strict=True):
+                if part != now:
+                    stack, now = [], part
+                while stack and not key.startswith(stack[-1][0]):
+                    stack.pop()
+                if not point:
+                    stack.append((key, h + p, len(h), verdict))
+                elif stack:
+                    _, rule, n, verdict = stack[-1]
+                    out.append((h, p, len(rule), n, rule, verdict))
+            columns = list(zip(*out, strict=True)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], names=["h", "p", "n", "hn", "rule", "verdict"])
+
+    found = all_rows.mapInArrow(swept, "h string, p string, n long, hn long, rule string, verdict string")
+    best = found.groupBy("h", "p").agg(F.max(F.struct("n", "hn", "rule", "verdict")).alias("__best"))
+    best = best.select(F.col("h").alias("__h"), F.col("p").alias("__p"), "__best")
+    joined = pages.join(best, (pages[host] == best["__h"]) & (pages[path] == best["__p"]), "left")
+    return joined.withColumns({names["rule"]: F.col("__best.rule"), names["verdict"]: F.coalesce("__best.verdict", F.lit(default))}).drop("__best", "__h", "__p")

@@ -56,6 +56,25 @@ def test_many_rules_are_joined(spark, monkeypatch):
     assert {r.page_id: (r.rule, r.verdict) for r in U.match_urls(pages, table).collect()} == few
 
 
+def test_rules_by_ranges_equal_each_rule_on_its_own(spark, monkeypatch):
+    """Nested rules of hot hosts, whose intervals reach over many ranges."""
+    monkeypatch.setattr(U, "MAX_SENT_RULES", 2)
+    rng = random.Random(5)
+    labels, parts = ["a", "b", "org", "com"], ["", "/", "/a", "/a/b", "/a/b/c", "/x", "/x-1", "/a\u00e9"]
+    rules = [U.Rule(rng.choice(["allow", "block"]), ".".join(rng.choice(labels) for _ in range(rng.randint(1, 3))).upper(), rng.choice(parts)) for _ in range(60)]
+    points = [(i, f"http://{'.'.join(rng.choice(labels) for _ in range(rng.randint(1, 4)))}{rng.choice(parts)}{rng.choice(['', '/z', '?q'])}") for i in range(800)]
+    pages = spark.createDataFrame(points, "page_id long, url string").repartition(5)
+    want = {}
+    for i, u in points:
+        h, p = plain(u)
+        fits = [r for r in rules if (h == r.host.lower() or h.endswith("." + r.host.lower())) and p.startswith(r.path)]
+        r = max(fits, key=lambda r: (len(r.text), len(r.host), r.verdict == "block"), default=None)
+        want[i] = (r and r.host.lower() + r.path, r.verdict if r else "allow")
+    assert {r.page_id: (r.rule, r.verdict) for r in U.match_urls(pages, rules).collect()} == want
+    monkeypatch.setattr(U, "MAX_SENT_RULES", 1000)
+    assert {r.page_id: (r.rule, r.verdict) for r in U.match_urls(pages, rules).collect()} == want
+
+
 def test_no_rules_and_no_pages(spark):
     pages = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
     assert [(r.rule, r.verdict) for r in U.match_urls(pages, [], default="block").collect()] == [(None, "block")]
