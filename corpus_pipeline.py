@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenframe.llm import exact, jaccard, langid, mixing, packing
-from lumenframe.llm.common import _remove, shared_dir
+from lumenframe.llm.common import _remove, shared_dir, stored
 from lumenframe.llm.queries import tokenizer_path
 
 #: A document whose best language is less sure than this is rejected.
@@ -33,8 +33,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix to source targets takes them."""
-    return mixing.repeated(docs, mixing.mix(docs, mixing.cycled_targets, F.array("source")))
+    """Documents as often as the mix to source targets takes them; one of a source may be cut."""
+    mixed = stored(mixing.mix(docs, mixing.cycled_targets, F.array("source")), "mixed")
+    return mixing.repeated(docs, mixed).unionByName(mixing.cut(docs, mixed))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
