@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import aggregates, basics, clauses, expressions, frames, interchange, joins, nested, relations, reports, results, scalars, sinks, timeseries, windows  # noqa: F401
+from . import (  # noqa: F401
+    aggregates, basics, clauses, client, dialect, expressions, frames, interchange, joins, more_functions, nested, relations, reports, results, scalars, sinks, surface, timeseries, windows,
+)
 from .registry import ORACLES, QUERIES, register
 
 __all__ = ["ORACLES", "QUERIES", "register"]

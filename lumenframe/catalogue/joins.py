@@ -8,23 +8,21 @@ from pyspark.sql import functions as F
 from ..operators.joins import asof_join, range_join, salted_join
 from .registry import register, rel, table
 
-_LEFT = "customer WHERE c_custkey % 3 = 0"
-
-
 def _kind(how: str, sql: str) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        c = rel(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").project("c_custkey, c_nationkey").set_alias("c")
-        o = rel(spark, sf_dir, "orders").filter("o_custkey % 2 = 0").project("o_orderkey, o_custkey").set_alias("o")
-        return c.join(o, "c.c_custkey = o.o_custkey", how=how).dataframe
+        c = rel(spark, sf_dir, "customer").project("c_custkey, c_nationkey, c_acctbal").set_alias("c")
+        o = rel(spark, sf_dir, "orders").project("o_orderkey, o_custkey, o_totalprice").set_alias("o")
+        return c.join(o, "c.c_custkey = o.o_custkey AND c.c_acctbal > 0 AND o.o_totalprice > 150000", how=how).dataframe
 
     run.__name__ = f"join_{how}"
     register(sql, f"join_{how}")(run)
 
 
-_C = "(SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey % 3 = 0) c"
-_O = "(SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey % 2 = 0) o"
+# customers in debt and small orders meet nothing, so both sides keep rows without a match
+_C = "(SELECT c_custkey, c_nationkey, c_acctbal FROM customer) c"
+_O = "(SELECT o_orderkey, o_custkey, o_totalprice FROM orders) o"
 for _how, _text in (("inner", "JOIN"), ("left", "LEFT JOIN"), ("right", "RIGHT JOIN"), ("outer", "FULL JOIN"), ("semi", "SEMI JOIN"), ("anti", "ANTI JOIN")):
-    _kind(_how, f"SELECT * FROM {_C} {_text} {_O} ON c_custkey = o_custkey")
+    _kind(_how, f"SELECT * FROM {_C} {_text} {_O} ON c_custkey = o_custkey AND c_acctbal > 0 AND o_totalprice > 150000")
 
 
 @register("SELECT n_nationkey, n_name, s_suppkey FROM nation JOIN (SELECT s_nationkey AS n_nationkey, s_suppkey FROM supplier) USING (n_nationkey)")

@@ -89,10 +89,9 @@ def rel_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rel(spark, sf_dir, "nation").join(rel(spark, sf_dir, "region"), "n_regionkey = r_regionkey").project("n_name, r_name").dataframe
 
 
-@register("SELECT r_name, s_suppkey FROM region CROSS JOIN supplier WHERE s_suppkey <= 5")
+@register("SELECT r_name, n_name FROM region CROSS JOIN nation")
 def rel_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
-    few = rel(spark, sf_dir, "supplier").filter("s_suppkey <= 5").set_alias("s")
-    return rel(spark, sf_dir, "region").cross(few).project("r_name, s_suppkey").dataframe
+    return rel(spark, sf_dir, "region").cross(rel(spark, sf_dir, "nation").set_alias("n")).project("r_name, n_name").dataframe
 
 
 @register("SELECT c_nationkey AS k FROM customer UNION ALL SELECT s_nationkey FROM supplier")
@@ -122,11 +121,12 @@ def rel_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).dataframe
 
 
-@register("""SELECT * FROM (VALUES ('count'), ('max'), ('min')) t(aggr) JOIN
-    (SELECT 'count' AS a, count(p_size) AS v FROM part UNION ALL SELECT 'max', max(p_size) FROM part UNION ALL SELECT 'min', min(p_size) FROM part) x ON a = aggr""")
+@register("""SELECT 'count' AS aggr, count(p_size)::DOUBLE AS size, count(p_name)::VARCHAR AS name FROM part UNION ALL SELECT 'mean', round(avg(p_size), 6), NULL FROM part
+    UNION ALL SELECT 'stddev', round(stddev_samp(p_size), 6), NULL FROM part UNION ALL SELECT 'min', min(p_size), min(p_name) FROM part
+    UNION ALL SELECT 'max', max(p_size), max(p_name) FROM part UNION ALL SELECT 'median', median(p_size), NULL FROM part""")
 def rel_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shown = rel(spark, sf_dir, "part").project("p_size").describe().filter("aggr IN ('count', 'min', 'max')")
-    return shown.project("aggr, aggr AS a, CAST(p_size AS BIGINT) AS v").dataframe
+    shown = rel(spark, sf_dir, "part").project("p_size, p_name").describe()
+    return shown.project("aggr, round(CAST(p_size AS DOUBLE), 6) AS size, p_name AS name").dataframe
 
 
 @register("SELECT n_nationkey, n_regionkey, 1 AS one FROM nation")

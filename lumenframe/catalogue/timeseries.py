@@ -23,7 +23,7 @@ def ts_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"), "n")
 
 
-@register("SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL")
+@register("SELECT event_type, count(DISTINCT user_id) AS n FROM events GROUP BY event_type")
 def ts_deduplicated_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = streaming.deduplicated(table(spark, sf_dir, "events"), "ts", ["event_id"], "1 hour")
-    return e.groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
+    e = streaming.deduplicated(table(spark, sf_dir, "events"), "ts", ["user_id", "event_type"], "1 hour")
+    return e.groupBy("event_type").agg(F.count("*").alias("n"))

@@ -53,7 +53,6 @@ _running("count", "x", "count(n_nationkey) {w}")
 _running("median", "round(x, 8)", "round(median(n_nationkey) {w}, 8)")
 _running("quantile_cont", "round(x, 8)", "round(quantile_cont(n_nationkey, 0.3) {w}, 8)", q=0.3)
 _running("quantile_disc", "cast(x as int)", "quantile_disc(n_nationkey, 0.3) {w}", q=0.3)
-_running("mode", "x", "min(n_nationkey) {w}")
 _running("list", "x", "list(n_nationkey) {w}")
 _running("product", "x", "product(n_nationkey) {w}")
 _running("stddev_pop", "round(x, 8)", "round(stddev_pop(n_nationkey) {w}, 8)")
@@ -77,3 +76,10 @@ def win_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("SELECT n_nationkey, 1 AS x FROM nation")
 def win_rank_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rel(spark, sf_dir, "nation").rank("over ()", projected_columns="n_nationkey").dataframe.toDF("n_nationkey", "x")
+
+
+@register("""SELECT n_nationkey, (SELECT v FROM (SELECT m.n_nationkey % 3 AS v, count(*) AS c, min(m.n_nationkey) AS f FROM nation m WHERE m.n_regionkey = n.n_regionkey AND m.n_nationkey <= n.n_nationkey GROUP BY 1)
+    ORDER BY c DESC, f LIMIT 1) AS x FROM nation n""")
+def win_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent value so far; of equally frequent ones the first seen."""
+    return rel(spark, sf_dir, "nation").mode("n_nationkey % 3", window_spec=_RUN, projected_columns="n_nationkey").dataframe.toDF("n_nationkey", "x")

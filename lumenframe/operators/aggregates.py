@@ -33,8 +33,8 @@ _MODE = (
 
 AGGREGATES: dict[str, Aggregate] = {
     "any_value": Aggregate("any_value({c}, true)"),
-    "arg_max": Aggregate("max_by({c}, {q})"),
-    "arg_min": Aggregate("min_by({c}, {q})"),
+    "arg_max": Aggregate("max_by({c}, CASE WHEN {c} IS NOT NULL THEN {q} END)"),
+    "arg_min": Aggregate("min_by({c}, CASE WHEN {c} IS NOT NULL THEN {q} END)"),
     "avg": Aggregate("avg({c})"),
     "bit_and": Aggregate("bit_and({c})"),
     "bit_or": Aggregate("bit_or({c})"),

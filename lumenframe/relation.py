@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
+import time
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -19,7 +21,7 @@ from .operators.aggregates import AGGREGATES, ALIASES, aggregate_text, analytic_
 from .plans.dialect import order_items, quoted, rewrite
 from .plans.lexer import find_top, solid, split_top, text, tokens
 from .sources import writers
-from .types import data_type
+from .types import data_type, type_name
 
 _NUMBER = itertools.count(1)
 _JOINS = {
@@ -175,6 +177,8 @@ class Relation:
         if groups and window_spec:
             raise ValueError("groups and window_spec exclude each other")
         names = [_plain(c) for c in split_top(tokens(expression), ",")] if expression.strip() not in ("", "*") else ["*"]
+        if name in ("histogram", "product") and not window_spec and names != ["*"]:
+            return self._by_counts(name, names, groups, projected_columns)
         if (known := ALIASES.get(name, name)) in AGGREGATES:
             made = [f"{aggregate_text(known, c, p, q, window_spec)} AS {quoted(_label(name, c))}" for c in names]
         else:
@@ -185,13 +189,36 @@ class Relation:
         head = head or []
         return self._sql_on(f"SELECT {', '.join(head + made)} FROM {{}} GROUP BY {rewrite(groups)}")
 
+    def _by_counts(self, name: str, columns: list[str], groups: str, projected_columns: str) -> Relation:
+        """Plain histogram and product: counted or multiplied before rows move, and no list of values."""
+        keys = [F.expr(text(g).strip()).alias(f"__k{i}") for i, g in enumerate(split_top(tokens(rewrite(groups)), ",") if groups else [])]
+        out, joined = None, [f"__k{i}" for i in range(len(keys))]
+        for i, c in enumerate(columns):
+            if name == "product":
+                one = self._named.groupBy(*keys).agg(F.product(F.expr(c).cast("double")).alias(f"__v{i}"))
+            else:
+                counts = self._named.select(*keys, F.expr(c).alias("__x")).groupBy(*joined, "__x").agg(F.count("__x").alias("__n"))
+                entry = F.when(F.col("__x").isNotNull(), F.struct(F.col("__x").alias("key"), F.col("__n").alias("value")))
+                entries = F.array_sort(F.collect_list(entry))
+                one = counts.groupBy(*joined).agg(F.when(F.size(entries) > 0, F.map_from_entries(entries)).alias(f"__v{i}"))
+            out = one if out is None else _beside(out, one, joined)
+        heads = [text(h).strip() for h in split_top(tokens(rewrite(projected_columns)), ",")] if projected_columns.strip() else []
+        plain = {text(g).strip(): k for g, k in zip(split_top(tokens(rewrite(groups)), ",") if groups else [], joined, strict=True)}
+        missing = [h for h in heads if h not in plain]
+        if missing:
+            raise ValueError(f"not among the groups: {', '.join(missing)}")
+        return self._new(out.select(*[F.col(plain[h]).alias(h.strip("`")) for h in heads], *[F.col(f"__v{i}").alias(_label(name, c)) for i, c in enumerate(columns)]))
+
     def _sql_on(self, sql: str) -> Relation:
         return self._new(self._spark.sql(sql.replace("{}", "{__rel}"), __rel=self.dataframe) if "{" not in sql.replace("{}", "") else self._through_view(sql))
 
     def _through_view(self, sql: str) -> DataFrame:
         name = f"__relation_{next(_NUMBER)}"
         self.dataframe.createOrReplaceTempView(name)
-        return self._spark.sql(sql.replace("{}", name))
+        try:
+            return self._spark.sql(sql.replace("{}", name))
+        finally:  # the text is analysed by now
+            self._spark.catalog.dropTempView(name)
 
     def value_counts(self, expression: str, groups: str = "") -> Relation:
         head = f"{groups}, " if groups else ""
@@ -208,6 +235,22 @@ class Relation:
         rows = F.array(*[F.struct(F.lit(s).alias("aggr"), *[f(c).cast("string").alias(c) for c in kinds]) for s, f in stats.items()])
         return self._new(self.dataframe.agg(rows.alias("x")).select(F.inline("x")))
 
+    def summarize(self) -> Relation:
+        """One row per column: name, type, min, max, approximate distinct values, average, standard
+        deviation, quartiles, count and percentage of NULLs."""
+        rows = []
+        for f in self.dataframe.schema:
+            c, number = F.col(quoted(f.name)), isinstance(f.dataType, T.NumericType)
+            some = lambda x, number=number: (x if number else F.lit(None)).cast("string")
+            nulls = F.when(F.count("*") > 0, F.round(100 * (F.count("*") - F.count(c)) / F.count("*"), 2).cast("decimal(9,2)"))
+            plain = not isinstance(f.dataType, (T.MapType, T.VariantType))
+            rows.append(F.struct(
+                F.lit(f.name).alias("column_name"), F.lit(type_name(f.dataType)).alias("column_type"), (F.min(c) if plain else F.lit(None)).cast("string").alias("min"), (F.max(c) if plain else F.lit(None)).cast("string").alias("max"),
+                (F.approx_count_distinct(c) if plain else F.lit(None).cast("long")).alias("approx_unique"), some(F.avg(c)).alias("avg"), some(F.stddev_samp(c) if number else c).alias("std"),
+                *[some(F.percentile_approx(c, q) if number else c).alias(n) for n, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))], F.count("*").alias("count"), nulls.alias("null_percentage"),
+            ))
+        return self._new(self.dataframe.agg(F.array(*rows).alias("x")).select(F.inline("x")))
+
     # ------------------------------------------------------------------ joins and sets
 
     def join(self, other: Relation, condition: Any, how: str = "inner") -> Relation:
@@ -238,9 +281,17 @@ class Relation:
     # ------------------------------------------------------------------ SQL, functions, plans
 
     def query(self, virtual_table_name: str, sql_query: str) -> Relation:
-        """One SELECT over this relation under a name."""
+        """One SELECT over this relation under a name, which hides a table and is gone after it."""
+        old = next((t for t in self._spark.catalog.listTables(pattern=virtual_table_name) if t.isTemporary), None)
+        kept = self._spark.table(virtual_table_name) if old is not None else None
         self.dataframe.createOrReplaceTempView(virtual_table_name)
-        return self._new(self._spark.sql(rewrite(sql_query, self._spark)))
+        try:
+            return self._new(self._spark.sql(rewrite(sql_query, self._spark)))
+        finally:
+            if kept is not None:
+                kept.createOrReplaceTempView(virtual_table_name)
+            else:
+                self._spark.catalog.dropTempView(virtual_table_name)
 
     def map(self, map_function: Callable[[pd.DataFrame], pd.DataFrame], schema: Any = None) -> Relation:
         """``map_function`` on pandas frames; without ``schema`` its types come from an empty frame."""
@@ -264,8 +315,35 @@ class Relation:
         return self._new(self.dataframe.mapInPandas(run, schema))
 
     def explain(self, type: str = "standard", format: str | None = None) -> str:  # noqa: A002
-        mode = {"standard": "formatted", "analyze": "cost"}.get(str(type).lower(), str(type).lower())
-        return self._spark._jvm.PythonSQLUtils.explainString(self.dataframe._jdf.queryExecution(), mode)
+        """The plan; ``analyze`` runs the query and says how many rows each operator gave."""
+        kind = str(type).lower()
+        if kind == "analyze":
+            return self._analyzed()
+        return self._spark._jvm.PythonSQLUtils.explainString(self.dataframe._jdf.queryExecution(), {"standard": "formatted"}.get(kind, kind))
+
+    def _analyzed(self) -> str:
+        run = self.dataframe._jdf.queryExecution()
+        began = time.perf_counter()
+        total = run.toRdd().count()
+        out = [f"{total} rows in {time.perf_counter() - began:.3f} s"]
+
+        def add(node: Any, depth: int) -> None:
+            name = node.nodeName()
+            if name == "AdaptiveSparkPlan":
+                return add(node.executedPlan(), depth)
+            if name in ("ShuffleQueryStage", "BroadcastQueryStage", "TableCacheQueryStage", "ResultQueryStage"):
+                return add(node.plan(), depth)
+            rows = node.metrics().get("numOutputRows")
+            if name not in ("InputAdapter",) and not name.startswith("WholeStageCodegen"):
+                out.append("  " * depth + node.simpleString(200) + (f" [{rows.get().value()} rows]" if rows.isDefined() else ""))
+                depth += 1
+            children = node.children()
+            for i in range(children.size()):
+                add(children.apply(i), depth)
+            return None
+
+        add(run.executedPlan(), 0)
+        return "\n".join(out)
 
     # ------------------------------------------------------------------ tables and files
 
@@ -403,6 +481,15 @@ class Relation:
         return f"Relation {self.alias}: {self.dataframe.schema.simpleString()}"
 
 
+def _beside(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Two aggregates by the same keys, side by side; a NULL key meets its like."""
+    if not keys:
+        return left.crossJoin(right)  # one row each
+    other = right.toDF(*[f"__r{c}" if c in keys else c for c in right.columns])
+    on = functools.reduce(lambda a, b: a & b, [left[k].eqNullSafe(other[f"__r{k}"]) for k in keys])
+    return left.join(other, on).drop(*[f"__r{k}" for k in keys])
+
+
 def _plain(parts: list) -> str:
     """One column or expression, re-quoted; anything that could end the expression is refused."""
     item = text(parts).strip()

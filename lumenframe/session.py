@@ -100,12 +100,41 @@ class Connection:
             order = parameter_order(sql)
             args = dict(params) if isinstance(params, dict) else [list(params)[i] for i in order] if order else list(params)
             sql = marked(sql)
-        text_ = rewrite(sql, self.spark)
+        if words[0] in ("SUMMARIZE", "DESCRIBE", "DESC", "EXPLAIN"):
+            return self._shown(parts, args, depth + 1)
+        frames: dict[str, DataFrame] = {}
+        text_ = rewrite(sql, self.spark, frames, lambda q: self._shown(tokens(q), None, depth + 2).dataframe)
+        for name, frame in frames.items():  # readers in FROM, known by these names while Spark reads the text
+            frame.createOrReplaceTempView(name)
         if self._options["python_enable_replacements"]:
             self._replace(text_, depth + 1)
         df = self.spark.sql(text_, args=args) if args is not None else self.spark.sql(text_)
+        if words[0] != "CREATE":  # a view goes on needing them
+            for name in frames:
+                self.spark.catalog.dropTempView(name)
         return Relation(df, sql=sql)
 
+    def _shown(self, parts: list, args: Any, depth: int) -> Relation:
+        """DESCRIBE and SUMMARIZE of a table or query, and EXPLAIN, as relations."""
+        from .plans.lexer import text
+
+        flat = solid(parts)
+        verb = flat[0].word
+        at = parts.index(flat[0]) + 1
+        analyze = verb == "EXPLAIN" and flat[1].word == "ANALYZE"
+        if analyze:
+            at = parts.index(flat[1]) + 1
+        rest = text(parts[at:]).strip()
+        query = rest if tokens(rest)[0].word in ("SELECT", "WITH", "FROM", "VALUES", "PIVOT", "UNPIVOT") else f"SELECT * FROM {rest}"
+        rel = self._one(query, args, depth)
+        if verb == "SUMMARIZE":
+            return rel.summarize()
+        if verb == "EXPLAIN":
+            plan = rel.explain("analyze" if analyze else "standard")
+            return Relation(self.spark.createDataFrame([("analyzed_plan" if analyze else "physical_plan", plan)], "explain_key string, explain_value string"))
+        rows = [(f.name, _types.type_name(f.dataType), "YES", None, None, None) for f in rel.dataframe.schema]
+        return Relation(self.spark.createDataFrame(rows, "column_name string, column_type string, `null` string, key string, `default` string, extra string"))
+
     def _changed(self, parts: list, verb: str) -> Relation | None:
         """UPDATE and DELETE on plain tables, by writing the table anew."""
         from .plans.lexer import split_top, text

@@ -81,6 +81,28 @@ def _parse(name: str) -> T.DataType:
     return T.DataType.fromDDL(name)
 
 
+#: The dialect's names of Spark's plain types.
+NAMES = {
+    "tinyint": "TINYINT", "smallint": "SMALLINT", "int": "INTEGER", "bigint": "BIGINT", "float": "FLOAT", "double": "DOUBLE", "boolean": "BOOLEAN", "string": "VARCHAR", "binary": "BLOB", "date": "DATE",
+    "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP", "void": "INTEGER", "variant": "VARIANT",
+}
+
+
+def type_name(kind: T.DataType) -> str:
+    """The dialect's name of a Spark type."""
+    if isinstance(kind, T.ArrayType):
+        return f"{type_name(kind.elementType)}[]"
+    if isinstance(kind, T.MapType):
+        return f"MAP({type_name(kind.keyType)}, {type_name(kind.valueType)})"
+    if isinstance(kind, T.StructType):
+        return f"STRUCT({', '.join(f'{f.name} {type_name(f.dataType)}' for f in kind)})"
+    if isinstance(kind, T.DecimalType):
+        return f"DECIMAL({kind.precision},{kind.scale})"
+    if isinstance(kind, (T.DayTimeIntervalType, T.YearMonthIntervalType)):
+        return "INTERVAL"
+    return NAMES.get(kind.simpleString().split(" ")[0], kind.simpleString().upper())
+
+
 def array_type(item: object, size: int | None = None) -> T.ArrayType:
     """A list; Spark arrays have no fixed length, so ``size`` is checked by ``check_length``."""
     return T.ArrayType(data_type(item))
