@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed
 
-#: Runs that one merge takes in.
+#: Runs that one merge takes in at most.
 FAN_IN = 8
 
 
@@ -36,26 +36,39 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def rounds_of(runs: int, fan_in: int = FAN_IN) -> tuple[int, int]:
+    """(rounds, radix): the fewest rounds of at most ``fan_in`` runs each, then the smallest radix."""
+    rounds = 1
+    while fan_in**rounds < runs:
+        rounds += 1
+    radix = 1
+    while radix**rounds < runs:
+        radix += 1
+    return rounds, radix
+
+
 def merge_runs(rows: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     """The winner of each digest: most code points, then smallest id (null last).
 
-    Rounds of a tree: round k merges ``fan_in`` neighbouring runs. Within a round Spark sorts
-    each run by (run, digest) and merges equal digests before and after the exchange, so at
-    every level only one row per digest and run moves on. A digest counts as equal only
-    together with ``proof``, checked at each level. Returns digest, proof, best, copies.
+    A tree of binomial rounds. Runs are numbered in base ``radix``; in round k, the runs whose
+    numbers differ in digit k alone exchange rows: each takes the digests that have its own digit
+    there. What a run has got is sorted by digest, and equal digests are merged into the better
+    one, so only one row per digest and run moves on; after the last round a digest is in one
+    run. In the first round rows are merged before they move as well, so copies within a task
+    are one row. A digest counts as equal only together with ``proof``, at each level. Runs hold
+    equal shares of the digests, whatever the groups' sizes. Returns digest, proof, best, copies.
     """
     best = F.struct((-F.col("chars")).alias("less"), F.col("id").isNull().alias("none"), F.col("id").alias("id"))
-    runs = rows.agg(F.max("run")).first()[0] or 0
+    rounds, radix = rounds_of((rows.agg(F.max("run")).first()[0] or 0) + 1, fan_in)
     level = rows.select("run", "digest", "proof", best.alias("best"), F.lit(1).cast("long").alias("copies"))
-    while True:
-        level = (
-            level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-            .groupBy("run", "digest", "proof")
-            .agg(F.min("best").alias("best"), F.sum("copies").alias("copies"))
-        )
-        runs //= fan_in
-        if runs == 0:
-            return level.drop("run")
+    for k in range(rounds):
+        target = F.pmod(F.xxhash64("digest"), F.lit(radix**rounds))
+        digit = lambda x, k=k: F.floor(x / radix**k) % radix
+        level = level.withColumn("run", (F.col("run") + (digit(target) - digit(F.col("run"))) * radix**k).cast("int"))
+        if k:
+            level = level.repartitionById(radix**rounds, F.col("run"))
+        level = level.groupBy("run", "digest", "proof").agg(F.min("best").alias("best"), F.sum("copies").alias("copies"))
+    return level.drop("run")
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
