@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from lumenframe.llm import licenses as L
 
 MIT = "\n".join(
@@ -41,3 +43,59 @@ def test_rows(spark, docs, no_docs, texts):
     got = [[tuple(x) for x in r.licences] for r in L.scan(some).orderBy("id").collect()]
     assert got == [[("MIT", 4, 34)], [("MIT", 4, 34)], []]
     assert L.scan(no_docs).collect() == []
+
+
+def plain(text, recogniser):
+    """Every way to join pieces, looked up among all sentences; then every rule at every place."""
+    pieces, at = [], 0
+    for m in L._END.finditer(text):
+        pieces.append((at, m.start()))
+        at = m.end()
+    pieces.append((at, len(text)))
+    known = {}
+    for i, s in L.SENTENCES.items():
+        known.setdefault(L.normal(s), i)
+    ids, i = [], 0
+    while i < len(pieces):
+        best = None
+        for j in range(i, min(len(pieces), i + 30)):
+            if L.normal(text[slice(*pieces[j])]) and L.normal(text[slice(*pieces[i])]):
+                whole = " ".join(x for a, b in pieces[i : j + 1] if (x := L.normal(text[a:b])))
+                best = (j, known[whole]) if whole in known else best
+        if best:
+            ids.append((best[1], pieces[i][0], pieces[best[0]][1]))
+            i = best[0]
+        i += 1
+    out, i = [], 0
+    while i < len(ids):
+        rule = next((r for r in L.RULES if tuple(x[0] for x in ids[i : i + len(r.ids)]) == r.ids), None)
+        if rule:
+            out.append(rule.licence)
+            i += len(rule.ids) - 1
+        i += 1
+    return out
+
+
+def test_finds_what_a_plain_search_finds():
+    rng = random.Random(8)
+    r = L.Recogniser()
+    filler = ["Some words here", "Copyright 2020 A. Person", "Version 2.0 of it", "you may", "This program is free software", "Licensed under something else"]
+    known = list(L.TEXTS.values()) * 3 + rng.sample(list(L.references().values()), 150)
+    seen = set()
+    for _ in range(300):
+        parts = [rng.choice(known if rng.random() < 0.6 else filler) for _ in range(rng.randint(1, 6))]
+        text = "".join(p + rng.choice([". ", ".\n", "\n", "; ", ":\n * "]) for p in parts)
+        words = text.split(" ")
+        text = "".join(w + (rng.choice([" ", " ", " ", "\n", "\n# "]) if rng.random() < 0.3 else " ") for w in words)
+        got = [x[0] for x in r.find(text)]
+        assert got == plain(text, r), text
+        seen |= set(got)
+    assert len(seen) > 25
+
+
+def test_notices_with_marks_inside():
+    text = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n\nMore."
+    assert names(text) == ["GPL-3.0-or-later"]
+    assert names("// SPDX-License-Identifier: LGPL-2.1-or-later") == ["LGPL-2.1"]
+    assert names("# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a copy") == ["MPL-2.0"]
+    assert names("Copyright 2001 Somebody. All rights reserved.") == ["LicenseRef-all-rights-reserved"]
