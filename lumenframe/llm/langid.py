@@ -18,6 +18,8 @@ from .common import chunks, ship, utf8
 #: least, however many there are) and for each.
 MAX_TEXTS = 4000
 MAX_TEXTS_EACH = 600
+#: Languages up to which their rates are sent to every task; more meet the texts by a join.
+SENT_LANGUAGES = 100_000
 #: Windows of a text that training takes at most.
 MAX_WINDOWS = 6
 
@@ -182,6 +184,7 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", only:
     each = max(1, min(MAX_TEXTS_EACH, MAX_TEXTS // len(counts)))
     # a few more than are needed by the hash; of a language with few texts, all
     rates = docs.sparkSession.createDataFrame([(r.lang, min(1.0, 1.3 * each / r["count"] + 8 / r["count"])) for r in counts], "lang string, rate double")
+    rates = F.broadcast(rates) if len(counts) <= SENT_LANGUAGES else rates
     drawn = rows.join(rates, "lang").where((F.pmod("h", F.lit(1 << 20)) / float(1 << 20)) < F.col("rate")).dropDuplicates(["lang", "h"])
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     few = drawn.withColumn("place", place).where(F.col("place") <= each).select("lang", "h", "text")
