@@ -20,8 +20,11 @@ MAX_TRUSTED = 20_000
 #: grams; a bucket of few grams thus gives a ratio near 0, whatever the size of the corpus.
 PRIOR = 4.0
 SMOOTHING = 0.5
-#: Mean log ratio of a document's n-grams below which it is rejected.
-THRESHOLD = -0.19
+#: Mean log ratio of a document's n-grams below which it is rejected: the largest multiple of
+#: -0.05 at which no labelled good document was rejected, at three sizes of the test tables, over
+#: documents whose crc32(doc_id) mod 4 is not 2. Over the others (held out), of the labelled bad
+#: documents that pass the base rules it rejected 51 of 63, 10 of 10 and 3 of 3, of 919 good none.
+THRESHOLD = -0.15
 
 WINDOW = 8
 _SYMBOL = np.zeros(256, dtype=bool)
