@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import io
 import os
-import tempfile
-import uuid
 from pathlib import Path
 from typing import Any
 
@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..types import data_type
 from .formats import java_pattern
+from .paths import scratch
 
 Paths = str | Path | bytes | list | Any
 
@@ -31,27 +32,33 @@ def paths_of(given: Paths, spark: SparkSession) -> list[str]:
         if protocol not in FILESYSTEMS:
             return [str(given)]
         fs = FILESYSTEMS[protocol]
-        return [_copied(spark, fs.open(p, "rb").read(), os.path.splitext(p)[1]) for p in sorted(fs.glob(str(given)))]
-    content = given if isinstance(given, bytes) else given.read()
-    return [_copied(spark, content.encode() if isinstance(content, str) else content, "")]
-
-
-def _copied(spark: SparkSession, content: bytes, suffix: str) -> str:
-    """A file with this content in the folder that all machines share, or, where none is set, in a
-    temporary one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        handle, path = tempfile.mkstemp(prefix="lumenframe-", suffix=suffix)
-        with os.fdopen(handle, "wb") as f:
-            f.write(content)
-        return path
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared.rstrip('/')}/lumenframe-{uuid.uuid4().hex}{suffix}")
+        return [_copied(spark, fs.open(p, "rb"), os.path.splitext(p)[1]) for p in sorted(fs.glob(str(given)))]
+    content = io.BytesIO(given) if isinstance(given, bytes) else given
+    return [_copied(spark, content, "")]
+
+
+def _copied(spark: SparkSession, source: Any, suffix: str, piece: int = 4 << 20) -> str:
+    """A file with what ``source`` holds in the folder that all machines share, copied in pieces."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{scratch(spark, 'copy')}/data{suffix}")
     out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
-    out.write(content)
+    while content := source.read(piece):
+        out.write(content.encode() if isinstance(content, str) else content)
     out.close()
     return target.toString()
 
 
+def _found(reader: Any, hive_partitioning: bool | None) -> Any:
+    """``reader``; without partitions, folders named ``k=v`` give no columns."""
+    return reader.option("recursiveFileLookup", True) if hive_partitioning is False else reader
+
+
+def _refused(**given: Any) -> None:
+    """Options that would change what is read and that Spark can't follow."""
+    wrong = [k for k, v in given.items() if v is not None]
+    if wrong:
+        raise NotImplementedError(f"no Spark counterpart of {', '.join(wrong)}")
+
+
 def _finish(df: DataFrame, filename: bool | str | None, drop: list[str] | None = None) -> DataFrame:
     if filename:
         df = df.withColumn(filename if isinstance(filename, str) else "filename", F.col("_metadata.file_path"))
@@ -63,7 +70,7 @@ def read_parquet(
     hive_partitioning: bool | None = None, union_by_name: bool = False, compression: str | None = None,
 ) -> DataFrame:
     """Parquet files; ``file_row_number`` and ``filename`` add columns, ``union_by_name`` merges schemas."""
-    df = spark.read.option("mergeSchema", bool(union_by_name)).parquet(*paths_of(path, spark))
+    df = _found(spark.read.option("mergeSchema", bool(union_by_name)), hive_partitioning).parquet(*paths_of(path, spark))
     if binary_as_string:
         df = df.withColumns({f.name: F.decode(F.col(f.name), "UTF-8") for f in df.schema if isinstance(f.dataType, T.BinaryType)}) if any(isinstance(f.dataType, T.BinaryType) for f in df.schema) else df
     if file_row_number:
@@ -91,6 +98,9 @@ def read_csv(
     effect, as Spark sizes its own.
     """
     files = paths_of(path, spark)
+    if union_by_name and len(files) > 1:
+        given = {k: v for k, v in locals().items() if k not in ("spark", "path", "files", "union_by_name")}
+        return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [read_csv(spark, f, **given) for f in files])
     mark = sep or delimiter
     lines = [] if mark and header is not None else [x for x in _head(spark, files) if x]
     mark = mark or _sniffed(lines)
@@ -109,7 +119,7 @@ def read_csv(
         "mode": "DROPMALFORMED" if ignore_errors and not store_rejects else "PERMISSIVE" if null_padding or store_rejects else "FAILFAST",
         "maxCharsPerColumn": max_line_size, "emptyValue": "", "preferDate": True,
     }
-    reader = spark.read.options(**{k: v for k, v in options.items() if v is not None})
+    reader = _found(spark.read.options(**{k: v for k, v in options.items() if v is not None}), hive_partitioning)
     if skiprows:
         lines = spark.read.text(files).withColumns({"__file": F.col("_metadata.file_path"), "__at": F.monotonically_increasing_id()})
         return _skipped(spark, reader, lines, skiprows, schema)
@@ -190,14 +200,16 @@ def read_json(
 ) -> DataFrame:
     """JSON files: one object a line, or arrays and spread-out objects with another ``format``.
 
-    ``records=False`` gives one column ``json`` with each object as a struct.
+    ``records=False`` gives one column ``json`` with each object as a struct. Columns of several
+    files are united by name. Options that would infer other types than Spark does are refused.
     """
+    _refused(maximum_depth=maximum_depth, field_appearance_threshold=field_appearance_threshold, map_inference_threshold=map_inference_threshold)
     schema = T.StructType([T.StructField(n, data_type(t)) for n, t in columns.items()]) if columns else None
     options = {
         "multiLine": format in ("array", "unstructured"), "dateFormat": date_format and java_pattern(date_format), "timestampFormat": timestamp_format and java_pattern(timestamp_format),
         "mode": "DROPMALFORMED" if ignore_errors else "FAILFAST", "compression": compression, "samplingRatio": None,
     }
-    reader = spark.read.options(**{k: v for k, v in options.items() if v is not None})
+    reader = _found(spark.read.options(**{k: v for k, v in options.items() if v is not None}), hive_partitioning)
     df = (reader.schema(schema) if schema is not None else reader).json(paths_of(path, spark))
     if records in (False, "false"):
         df = df.select(F.struct("*").alias("json"))
