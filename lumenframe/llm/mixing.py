@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 from collections import deque
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -162,6 +163,45 @@ def mix(
     a pattern are made before rows move; only one slice in 2**SLICE_BITS of a pattern is sorted
     in one task. The driver holds one row per pattern, not per document.
     """
+    plan = planned(docs, targets, members, id_col, text_col, max_repeat, seed)
+    spark = docs.sparkSession
+    part_df = _sent(spark, plan.parts, "pattern string, h long, part long")
+    sizes = _sent(spark, [(p, ss, ts) for p, _, _, ss, ts in plan.patterns], "pattern string, source_sizes array<long>, targets array<double>")
+    out = plan.marked.drop("rest").join(part_df, ["pattern", "h"], "left").join(sizes, "pattern").withColumn("turn", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    out = out.withColumn("part", F.when(F.expr("turn = more + 1"), F.coalesce("part", F.lit(0))).otherwise(0))
+    out = out.withColumn("repeats", F.when(F.col("size") > 0, F.col("whole") + F.expr("turn <= more").cast("long")).otherwise(0))
+    return out.select("id", "members", "size", "repeats", (F.col("size") * F.col("repeats") + F.col("part")).alias("taken"), "source_sizes", "targets", "h", "part")
+
+
+@dataclass
+class Plan:
+    """What the mix takes, by pattern.
+
+    ``patterns``: pattern, times that each document is taken, words missing then, sizes and
+    targets of its sources. ``limits``: pattern, whole, rest, and the slice and hash up to which
+    documents are taken once more. ``extra``: pattern, hash and number of the other rows that are
+    taken once more. ``parts``: pattern, hash and words of the row taken in part. ``marked``: the
+    sized rows with ``more``, how many of a row's copies are taken once more.
+    """
+
+    patterns: list[tuple]
+    limits: list[tuple]
+    extra: list[tuple]
+    parts: list[tuple]
+    marked: DataFrame
+
+
+_LIMITS = "pattern string, whole long, rest long, edge long, cut long"
+
+
+def _is_first(slice_: Column) -> Column:
+    """Whether a row comes before its pattern's limit."""
+    inside = (slice_ < F.col("edge")) | ((slice_ == F.col("edge")) & F.coalesce(F.col("h") <= F.col("cut"), F.lit(False)))
+    return inside & (F.col("rest") > 0)
+
+
+def planned(docs: DataFrame, targets: Callable[[dict], dict], members: Column, id_col: str = "doc_id", text_col: str = "text", max_repeat: int = 2, seed: int = 17) -> Plan:
+    """The plan of ``mix``, which holds few rows per pattern."""
     spark = docs.sparkSession
     sized = word_sizes(docs, id_col, F.sort_array(F.array_distinct(members)), text_col, seed).withColumn("pattern", F.to_json("members"))
     rows = stored(sized.groupBy("pattern", "id", "h", "size").agg(F.first("members").alias("members"), F.count("*").alias("copies")), "sizes")
@@ -179,13 +219,13 @@ def mix(
         words = min(sum(f.values()), max_repeat * r.size)
         whole = words // r.size if r.size else 0
         plan.append((r.pattern, int(whole), int(words - whole * r.size), [sizes[s] for s in r.members], [float(wanted[s]) for s in r.members]))
-    plan_df = _sent(spark, plan, "pattern string, whole long, rest long, source_sizes array<long>, targets array<double>")
+    plan_df = _sent(spark, [(p, r) for p, _, r, _, _ in plan], "pattern string, rest long")
 
     slice_ = F.shiftrightunsigned("h", 64 - SLICE_BITS)
     sums = rows.groupBy("pattern", slice_.alias("slice")).agg(F.sum(all_words).alias("size"))
     upto = F.sum("size").over(Window.partitionBy("pattern").orderBy("slice"))
     edges = (
-        sums.withColumn("upto", upto).join(plan_df.select("pattern", "rest"), "pattern").where("upto > rest").groupBy("pattern", "rest").agg(F.min(F.struct("slice", F.expr("upto - size").alias("before"))).alias("x"))
+        sums.withColumn("upto", upto).join(plan_df, "pattern").where("upto > rest").groupBy("pattern", "rest").agg(F.min(F.struct("slice", F.expr("upto - size").alias("before"))).alias("x"))
         .select("pattern", "rest", "x.slice", "x.before").collect()
     )
     edge_df = _sent(spark, [tuple(e) for e in edges], "pattern string, rest long, slice long, before long")
@@ -193,9 +233,8 @@ def mix(
     upto = F.col("before") + F.sum(all_words).over(Window.partitionBy("pattern").orderBy("h"))
     cuts = {r.pattern: r.cut for r in inside.select("pattern", "h", "rest", upto.alias("upto")).where("upto <= rest").groupBy("pattern").agg(F.max("h").alias("cut")).collect()}
     edge = {e.pattern: e.slice for e in edges}
-    limits = _sent(spark, [(p, r, edge.get(p, 1 << SLICE_BITS), cuts.get(p)) for p, _, r, _, _ in plan], "pattern string, rest long, edge long, cut long")
-    first = (slice_ < F.col("edge")) | ((slice_ == F.col("edge")) & F.coalesce(F.col("h") <= F.col("cut"), F.lit(False)))
-    marked = rows.join(limits, "pattern").withColumn("more", F.when(first & (F.col("rest") > 0), F.col("copies")).otherwise(0))
+    limits = [(p, w, r, edge.get(p, 1 << SLICE_BITS), cuts.get(p)) for p, w, r, _, _ in plan]
+    marked = rows.join(_sent(spark, limits, _LIMITS), "pattern").withColumn("more", F.when(_is_first(slice_), F.col("copies")).otherwise(0))
 
     extra: list[tuple[str, int, int]] = []
     for _ in range(FILL_ROUNDS):
@@ -209,12 +248,7 @@ def mix(
     now = _with_extra(spark, marked, extra)
     best = now.where("more < copies and size > 0").groupBy("pattern").agg(F.max(F.struct("size", "id", "h")).alias("x"))
     parts = [tuple(r) for r in best.join(_left(now), "pattern").select("pattern", "x.h", F.least("x.size", "left").alias("part")).collect()]
-    part_df = _sent(spark, parts, "pattern string, h long, part long")
-    out = now.drop("rest").join(part_df, ["pattern", "h"], "left").join(plan_df, "pattern")
-    out = out.withColumn("turn", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    out = out.withColumn("part", F.when(F.expr("turn = more + 1"), F.coalesce("part", F.lit(0))).otherwise(0))
-    out = out.withColumn("repeats", F.when(F.col("size") > 0, F.col("whole") + F.expr("turn <= more").cast("long")).otherwise(0))
-    return out.select("id", "members", "size", "repeats", (F.col("size") * F.col("repeats") + F.col("part")).alias("taken"), "source_sizes", "targets", "h", "part")
+    return Plan(plan, limits, extra, parts, now)
 
 
 def _sent(spark, rows: list[tuple], schema: str) -> DataFrame:  # noqa: ANN001
@@ -243,6 +277,48 @@ def _with_extra(spark, marked: DataFrame, extra: list[tuple[str, int, int]]) ->
     return marked.join(added, ["pattern", "h"], "left").withColumn("more", F.col("more") + F.coalesce("added", F.lit(0))).drop("added")
 
 
+def mixed(docs: DataFrame, targets: Callable[[dict], dict], members: Column, id_col: str = "doc_id", text_col: str = "text", max_repeat: int = 2, seed: int = 17) -> DataFrame:
+    """The mix itself: rows of ``docs`` as often as ``mix`` takes them, with all their columns.
+
+    How often a row is taken follows from its pattern's limits and its hash, so rows don't move;
+    the few rows of a pattern that are taken besides are named one by one. Of repeated rows that
+    are taken in part of their number, copies are written and numbered within each task, after
+    the copies of earlier tasks. The document that a pattern takes in part, one at most, is cut
+    after that many words. Null and empty texts are never taken.
+    """
+    plan = planned(docs, targets, members, id_col, text_col, max_repeat, seed)
+    spark = docs.sparkSession
+    names = {"__id": F.col(id_col), "h": F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), "pattern": F.to_json(F.sort_array(F.array_distinct(members)))}
+    own = docs.select(F.struct("*").alias("doc"), *[c.alias(n) for n, c in names.items()]).where(F.rlike(F.col("doc")[text_col], F.lit(r"[^\x20\x09-\x0D]")))
+    sums: dict = {}
+    for p, h, n in plan.extra:
+        sums[p, h] = sums.get((p, h), 0) + n
+    extra = _sent(spark, [(p, h, n) for (p, h), n in sums.items()], "pattern string, h long, added long")
+    slice_ = F.shiftrightunsigned("h", 64 - SLICE_BITS)
+    rows = own.join(_sent(spark, plan.limits, _LIMITS), "pattern").join(extra, ["pattern", "h"], "left").withColumn("times", F.col("whole") + _is_first(slice_).cast("long"))
+    # the rows that are named: number each key's copies, then the first ``added`` count once more
+    key = ["pattern", "h", "__id"]
+    few = stored(rows.where("added IS NOT NULL").select("doc", *key, "whole", "added"), "named")
+    few = few.withColumn("task", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id())  # the same in each reading of the files
+    here = few.groupBy(*key, "task").agg(F.count("*").alias("here"))
+    before = here.withColumn("before", F.sum("here").over(Window.partitionBy(*key).orderBy("task")) - F.col("here"))
+    place = F.row_number().over(Window.partitionBy(*key, "task").orderBy("row"))
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*key, "task")]
+    few = few.withColumn("place", place).alias("a").join(before.alias("b"), functools.reduce(lambda x, y: x & y, same))
+    few = few.select("a.doc", F.expr("a.whole + if(b.before + a.place <= a.added, 1, 0)").alias("times"))
+    out = rows.where("added IS NULL").select("doc", "times").unionByName(few).where("times > 0")
+    out = out.withColumn("turn", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select("doc.*")
+    parts = _sent(spark, plan.parts, "pattern string, h long, part long")
+
+    @F.udf("string")
+    def first_words(text, n):  # noqa: ANN001, ANN202
+        data, offsets = utf8(pa.array([text]))
+        return data.tobytes()[: int(Words(data, offsets).ends[n - 1])].decode()
+
+    cut = own.join(parts, ["pattern", "h"]).dropDuplicates(key).select("doc.*", "part")
+    return out.unionByName(cut.withColumn(text_col, first_words(F.col(text_col), F.col("part"))).select(*docs.columns))
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str, seed: int) -> DataFrame:
     return docs.withColumns({"__id": F.col(id_col), "__h": F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))})
 
@@ -255,7 +331,7 @@ def repeated(docs: DataFrame, mixed_rows: DataFrame, id_col: str = "doc_id", tex
     """The mix itself: rows of ``docs`` as often as ``mixed_rows`` takes them whole, with all their columns.
 
     Repeated rows of which only some are taken (few such rows in a pattern, but each may have
-    many copies) are numbered: within each task of the scan, after the copies of earlier tasks.
+    many copies) are written and numbered: within each task, after the copies of earlier tasks.
     """
     times = mixed_rows.groupBy(F.col("id").alias("__of"), F.col("h").alias("__key")).agg(F.min("repeats").alias("__lo"), F.max("repeats").alias("__hi"), F.count_if(F.col("part") > 0).alias("__cut"), F.sum("repeats").alias("__sum"), F.count("*").alias("__copies"))
     times = stored(times.where("__hi > 0").withColumn("__more", F.expr("__sum - __copies * __lo")), "times")
@@ -263,8 +339,8 @@ def repeated(docs: DataFrame, mixed_rows: DataFrame, id_col: str = "doc_id", tex
     even = times.where("__lo = __hi").select("__of", "__key", "__lo", "__hi", "__more")
     odd = _few(times.where("__lo < __hi").select("__of", "__key", "__lo", "__hi", "__more"))
     rows = own.join(even, _same(own, even)).withColumn("__n", F.col("__lo"))
-    some = own.withColumn("__task", F.spark_partition_id()).withColumn("__row", F.monotonically_increasing_id())
-    some = some.join(odd, _same(some, odd))
+    some = stored(own.join(odd, _same(own, odd)), "named")
+    some = some.withColumn("__task", F.spark_partition_id()).withColumn("__row", F.monotonically_increasing_id())  # the same in each reading of the files
     before = some.groupBy("__key", "__of", "__task").agg(F.count("*").alias("__here"))
     before = before.withColumn("__before", F.sum("__here").over(Window.partitionBy("__key", "__of").orderBy("__task")) - F.col("__here"))
     before = before.select(F.col("__key").alias("__k"), F.col("__of").alias("__o"), F.col("__task").alias("__t"), "__before")
@@ -274,18 +350,3 @@ def repeated(docs: DataFrame, mixed_rows: DataFrame, id_col: str = "doc_id", tex
     some = some.withColumn("__n", F.expr("if(__before + __place <= __more, __hi, __lo)"))
     both = rows.select(*docs.columns, "__n").unionByName(some.select(*docs.columns, "__n")).where("__n > 0")
     return both.withColumn("__turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n")))).select(*docs.columns)
-
-
-def cut(docs: DataFrame, mixed_rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 17) -> DataFrame:
-    """The documents that the mix takes in part, one of a pattern at most, cut after that many
-    words; all other columns as they are."""
-    parts = _few(mixed_rows.where("part > 0").select(F.col("id").alias("__of"), F.col("h").alias("__key"), "part"))
-    own = _keyed(docs, id_col, text_col, seed)
-    found = own.join(parts, _same(own, parts)).dropDuplicates(["__h", "__id"])
-
-    @F.udf("string")
-    def first_words(text, n):  # noqa: ANN001, ANN202
-        data, offsets = utf8(pa.array([text]))
-        return data.tobytes()[: int(Words(data, offsets).ends[n - 1])].decode()
-
-    return found.withColumn(text_col, first_words(F.col(text_col), F.col("part"))).select(*docs.columns)

@@ -104,7 +104,29 @@ def test_document_taken_in_part(spark):
     mixed = mixing.mix(docs, lambda sizes: {"x": 3.0}, F.array("source"))
     assert [(r.taken, r.repeats, r.part) for r in mixed.collect()] == [(3, 0, 3)]
     assert mixing.repeated(docs, mixed).collect() == []
-    assert [tuple(r) for r in mixing.cut(docs, mixed).collect()] == [(1, "a b\tc", "x")]
+    assert [tuple(r) for r in mixing.mixed(docs, lambda sizes: {"x": 3.0}, F.array("source")).collect()] == [(1, "a b\tc", "x")]
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_mixed_documents_are_those_of_the_mix(spark, docs, parts):
+    """Each text as often as its rows are taken, whole rows and the cut one."""
+    more = [(500, "x " * 7, None, "a"), (501, "y y", None, "b")]
+    rows = spark.createDataFrame(more * 9, "doc_id long, text string, lang string, source string")
+    docs = docs.unionByName(rows, allowMissingColumns=True).repartition(parts)
+    want, cut = defaultdict(int), 0
+    taken = mixing.mix(docs, mixing.cycled_targets, F.array("source")).collect()
+    for r in taken:
+        want[r.id] += r.repeats
+        cut += r.part > 0
+    out = mixing.mixed(docs, mixing.cycled_targets, F.array("source"))
+    assert out.columns == docs.columns
+    got, words = defaultdict(int), 0
+    for r in out.collect():
+        got[r.doc_id] += 1
+        words += len(R.words(r.text))
+    assert words == sum(r.taken for r in taken)
+    assert sum(got.values()) == sum(want.values()) + cut
+    assert all(want[i] <= got[i] <= want[i] + 1 for i in want)
 
 
 def test_many_patterns(spark, monkeypatch):
@@ -121,4 +143,4 @@ def test_empty_table(no_docs):
     mixed = mixing.mix(no_docs, mixing.cycled_targets, F.array("source"))
     assert mixed.collect() == []
     assert mixing.repeated(no_docs, mixed).collect() == []
-    assert mixing.cut(no_docs, mixed).collect() == []
+    assert mixing.mixed(no_docs, mixing.cycled_targets, F.array("source")).collect() == []
