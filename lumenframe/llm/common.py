@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -58,14 +59,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: columns can be pruned.
 
-    The files are removed when the Python process ends.
+    ``tasks``: as many tasks at most compute the last stage and write a file each; for tables
+    whose size is known, so that small ones don't become many tiny files. The files are removed
+    when the Python process ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lumenframe-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df if tasks is None else df.coalesce(tasks)).write.parquet(path)
     atexit.register(_remove, spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out.__dict__["_stored_at"] = path
@@ -78,14 +81,9 @@ def discard(*dfs: DataFrame) -> None:
         _remove(df.sparkSession, df.__dict__["_stored_at"])
 
 
-def is_stored(df: DataFrame) -> bool:
-    """Whether ``df`` reads the files of ``stored`` as they are."""
-    return "_stored_at" in df.__dict__
-
-
-def tasks_for(rows: int) -> int:
-    """How many tasks a table of so many narrow rows deserves."""
-    return max(1, -(-rows // TASK_ROWS))
+def tasks_for(rows: int, each: int = TASK_ROWS) -> int:
+    """How many tasks a table of so many rows deserves."""
+    return max(1, -(-rows // each))
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -100,8 +98,17 @@ def _remove(spark: SparkSession, path: str) -> None:
 _SHIPPED: set[str] = set()
 
 
+#: Bytes of an Arrow batch between Spark and a Python worker, unless the session says otherwise:
+#: ten thousand long texts or sets in one batch would fill a worker.
+BATCH_BYTES = 2 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, which may run where it isn't installed."""
+    """Sends this package to the Python workers, which may run where it isn't installed, and
+    bounds the batches that they get."""
+    if not spark.conf._jconf.contains(_BATCH):
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
@@ -117,9 +124,22 @@ def ship(spark: SparkSession) -> None:
 # --------------------------------------------------------------------------- Arrow batches
 
 
+def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches``; after the last one the worker gives memory it has freed back to the system.
+
+    Workers are kept for later tasks, and several of them share an executor's memory.
+    """
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose texts hold about ``limit`` bytes each, so memory stays bounded."""
-    for batch in batches:
+    for batch in trimmed(batches):
         if batch.num_rows == 0:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -35,7 +35,7 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v")
-        before, edges = edges, stored(small.coalesce(tasks).distinct().coalesce(tasks), "links")
+        before, edges = edges, stored(small.coalesce(tasks).distinct(), "links", tasks)
         discard(before)
         now = _state(edges)
         if now == state:
@@ -74,7 +74,7 @@ class Classes:
             else:
                 out = old.join(new.toDF("old", "new"), F.col("root") == F.col("old"), "full_outer")
                 out, most = out.select(F.coalesce("node", "old").alias("node"), F.coalesce("new", "root").alias("root")), old.count() + 2 * n
-            self.roots = stored(out.coalesce(tasks_for(most)), "roots")
+            self.roots = stored(out, "roots", tasks_for(most))
             discard(new, *([old] if old is not None else []))
         discard(links)
 

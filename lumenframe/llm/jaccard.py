@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, chunks, discard, is_stored, ship, stored, utf8
+from .common import Words, chunks, discard, ship, stored, tasks_for, utf8
 from .components import Classes
 
 #: Buckets of the frequency sketch that orders n-grams from rare to common. Its size is fixed;
@@ -30,6 +30,8 @@ CENTERS = 2
 HOME, LARGE = 256, 64
 #: Rows of a prefix n-gram that one task compares with as many others.
 BLOCK = 1024
+#: Sets, and pairs of sets to verify, that one task takes.
+SET_ROWS, PAIR_ROWS = 20_000, 2_000
 #: The suffix filter counts a set's n-grams by parts of the hash range, about two to a part,
 #: with as many parts as these limits allow.
 _LEAST_PARTS, _MOST_PARTS = 32, 1 << 15
@@ -111,18 +113,16 @@ def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def among(df: DataFrame, digests: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose digest is among ``digests``, and a few others by chance: a filter
-    of fixed size spares the others the way to an exact join."""
-    bits = df.sparkSession.sparkContext.broadcast(key_filter(digests.select(F.xxhash64("digest").alias("key")), "key"))
+def among_digests(digests: DataFrame) -> Column:
+    """Whether the column digest is among ``digests``, true for a few others by chance: a filter
+    of fixed size, which spares most rows the way to an exact join."""
+    bits = digests.sparkSession.sparkContext.broadcast(key_filter(digests.select(F.xxhash64("digest").alias("key")), "key"))
 
-    @F.pandas_udf("boolean")
-    def hit(x):  # noqa: ANN001, ANN202
-        import pandas as pd
+    @F.arrow_udf("boolean")
+    def hit(x: pa.Array) -> pa.Array:
+        return pa.array(_passes(np.frombuffer(bits.value, np.uint8), x.to_numpy(zero_copy_only=False)))
 
-        return pd.Series(_passes(np.frombuffer(bits.value, np.uint8), x.to_numpy()))
-
-    return df.where(hit(F.xxhash64("digest")))
+    return hit(F.xxhash64("digest"))
 
 
 # --------------------------------------------------------------------------- sets
@@ -180,14 +180,28 @@ def row_keys(id_col: str, text_col: str, key: str, proof: str) -> list[Column]:
     return [F.xxhash64(id_col, text_col).alias(key), F.xxhash64(text_col, F.lit(1), id_col).alias(proof)]
 
 
+def distinct_sets(rows: DataFrame) -> DataFrame:
+    """One row per set (digest, n, prefix, parts, text_key) of the rows of ``profiles``.
+
+    Only the rows of sets that several tasks have seen move; the others are found by counting
+    digests, and stay where they are.
+    """
+    sets = rows.where("prefix is not null").select("digest", "n", "prefix", "parts", "text_key")
+    again = sets.groupBy("digest").agg(F.count("*").alias("times")).where("times > 1")
+    marked = sets.withColumn("again", among_digests(again))
+    first = [F.first(c).alias(c) for c in ("n", "prefix", "parts")]
+    few = marked.where("again").groupBy("digest").agg(*first, F.min("text_key").alias("text_key"))
+    return marked.where("not again").drop("again").unionByName(few)
+
+
 def shared_prefixes(sets: DataFrame) -> DataFrame:
-    """(token, size, digest, text_key, n, pos) of the prefix n-grams that two sets or more have;
-    size is how many.
+    """(token, size, digest, text_key, n, pos, lo, hi) of the prefix n-grams that two sets or more
+    have; size is how many, lo and hi are the first and the last of them by digest.
 
     Most prefix n-grams are found once. They are counted, the few shared ones become a filter of
-    fixed size, and only rows that pass it move on to the exact join.
+    fixed size, and only rows that pass it move on to the exact count and join.
     """
-    again = stored(sets.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "tokens")
+    again = sets.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
     bits = sets.sparkSession.sparkContext.broadcast(key_filter(again, "token"))
     schema = "token long, digest binary, text_key long, n long, pos long"
 
@@ -203,9 +217,11 @@ def shared_prefixes(sets: DataFrame) -> DataFrame:
             made = [pa.array(tokens[hit], pa.int64()), *(b.column(c).take(take) for c in ("digest", "text_key", "n")), pa.array(pos[hit], pa.int64())]
             yield pa.RecordBatch.from_arrays(made, names=["token", "digest", "text_key", "n", "pos"])
 
-    rows = sets.select("digest", "text_key", "n", "prefix").mapInArrow(run, schema)
-    out = stored(rows.join(again, "token").select("token", "size", "digest", "text_key", "n", "pos"), "shared")
-    discard(again)
+    found = stored(sets.select("digest", "text_key", "n", "prefix").mapInArrow(run, schema), "found", tasks_for(sets.count(), SET_ROWS))
+    one = F.struct("digest", "text_key", "n", "pos")
+    centers = found.groupBy("token").agg(F.count("*").alias("size"), F.min(one).alias("lo"), F.max(one).alias("hi")).where("size > 1")
+    out = stored(found.join(centers, "token").select("token", "size", "digest", "text_key", "n", "pos", "lo", "hi"), "shared", tasks_for(found.count()))
+    discard(found)
     return out
 
 
@@ -266,9 +282,9 @@ def _intersection(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def suffix_filtered(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+def suffix_filtered(pairs: DataFrame, sets: DataFrame, like: Likeness, tasks: int) -> DataFrame:
     """The pairs (a, ka, b, kb) of digests and text keys whose counts by part allow a link."""
-    used = among(sets.select("digest", "n", "parts"), _ends(pairs))
+    used = stored(sets.select("digest", "n", "parts").where(among_digests(_ends(pairs))), "parts")  # so that no task has two workers
     a, b = (used.select(F.col("digest").alias(x), F.col("n").alias(f"n{x}"), F.col("parts").alias(f"p{x}")) for x in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,7 +294,9 @@ def suffix_filtered(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFr
             ok = [_most(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) >= m for x, y, m in sides]
             yield batch.select(["a", "ka", "b", "kb"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a binary, ka long, b binary, kb long")
+    out = stored(pairs.join(a, "a").join(b, "b").mapInArrow(run, "a binary, ka long, b binary, kb long"), "pairs", tasks)
+    discard(used)
+    return out
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -287,9 +305,10 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, text_col: str, like: Likeness) -> DataFrame:
-    """The pairs (a, b) of digests whose sets link; only the texts of these pairs are read anew."""
-    given = pairs if is_stored(pairs) else stored(pairs, "pairs")
-    left_over = stored(suffix_filtered(given, sets, like), "pairs")
+    """The pairs (a, b) of digests whose sets link; only the texts of these pairs are read anew.
+
+    ``pairs`` is a stored table, which is removed."""
+    left_over = suffix_filtered(pairs, sets, like, tasks_for(pairs.count(), SET_ROWS))
     grams = wanted_sets(docs, _ends(left_over), k, text_col)
     left, right = grams.select(F.col("digest").alias("a"), F.col("grams").alias("ga")), grams.select(F.col("digest").alias("b"), F.col("grams").alias("gb"))
 
@@ -301,8 +320,8 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, text_co
                 ok = [_intersection(x, y) >= like.overlap(len(x), len(y)) for x, y in sides]
                 yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    out = stored(left_over.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ga", "gb").mapInArrow(run, "a binary, b binary"), "links")
-    discard(given, left_over)
+    out = stored(left_over.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ga", "gb").mapInArrow(run, "a binary, b binary"), "links", tasks_for(left_over.count(), PAIR_ROWS))
+    discard(pairs, left_over)
     return out
 
 
@@ -311,7 +330,8 @@ def _home_links(shared: DataFrame, docs: DataFrame, k: int, text_col: str, like:
     n-gram, dealt into blocks of about HOME sets, and a task connects what links inside a block."""
     first = F.max(F.struct("size", "token", "text_key")).alias("h")
     home = shared.where(F.col("size") >= LARGE).groupBy("digest").agg(first).select("digest", "h.*")
-    home = stored(home.select("digest", "text_key", "token", F.pmod(F.xxhash64("digest"), F.ceil(F.col("size") / HOME)).alias("block")), "home")
+    home = home.select("digest", "text_key", "token", F.pmod(F.xxhash64("digest"), F.ceil(F.col("size") / HOME)).alias("block"))
+    home = stored(home, "home", tasks_for(shared.count()))
     grams = wanted_sets(docs, home, k, text_col)
 
     def run(table):  # noqa: ANN001, ANN202
@@ -320,7 +340,7 @@ def _home_links(shared: DataFrame, docs: DataFrame, k: int, text_col: str, like:
         a, b = _forest(sets_, like)
         return pa.table({"a": pa.array([digests[i] for i in a], pa.binary()), "b": pa.array([digests[i] for i in b], pa.binary())})
 
-    out = stored(home.select("digest", "token", "block").join(grams, "digest").groupBy("token", "block").applyInArrow(run, "a binary, b binary"), "links")
+    out = stored(home.select("digest", "token", "block").join(grams, "digest").groupBy("token", "block").applyInArrow(run, "a binary, b binary"), "links", tasks_for(home.count(), PAIR_ROWS))
     discard(home)
     return out
 
@@ -346,11 +366,9 @@ def _forest(sets: list[np.ndarray], like: Likeness) -> tuple[list[int], list[int
 
 
 def _star_pairs(rows: DataFrame, like: Likeness) -> DataFrame:
-    """Each row of a token against CENTERS of the token's sets, the first and the last by a hash;
-    filtered by length and position. Distinct pairs a < b of sets in different classes."""
-    one = F.struct(F.xxhash64("digest").alias("h"), "digest", "text_key", "n", "pos", "root")
-    centers = rows.groupBy("token").agg(F.min(one).alias("lo"), F.max(one).alias("hi"))
-    both = rows.join(centers.select("token", F.array("lo", "hi").alias("centers")), "token").select("*", F.explode("centers").alias("c")).where(F.col("root") != F.col("c.root"))
+    """Each row of a token against CENTERS of the token's sets, the first and the last by digest;
+    filtered by length and position. Distinct pairs a < b."""
+    both = rows.select("*", F.explode(F.array("lo", "hi")).alias("c")).where(F.col("digest") != F.col("c.digest"))
     need = F.ceil(F.lit(like.least) * (F.col("n") + F.col("c.n")) / F.lit(like.per + like.least) - F.lit(1e-9))
     most = F.least("pos", "c.pos") + 1 + F.least(F.expr("n - pos - 1"), F.expr("c.n - c.pos - 1"))
     near = both.where((F.least("n", "c.n") * like.per >= F.greatest("n", "c.n") * like.least) & (most >= need))
@@ -358,22 +376,31 @@ def _star_pairs(rows: DataFrame, like: Likeness) -> DataFrame:
     return _pairs(near.select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y")))
 
 
+def _unlike(pairs: DataFrame, classes: Classes) -> DataFrame:
+    """The pairs whose sets are in different classes."""
+    ends = pairs
+    for x in "ab":
+        ends = classes.of(ends, x).withColumnRenamed("root", f"root_{x}")
+    return ends.where("root_a <> root_b").select("a", "ka", "b", "kb")
+
+
 def _pairs(xy: DataFrame) -> DataFrame:
     return xy.select(F.col("x.digest").alias("a"), F.col("x.text_key").alias("ka"), F.col("y.digest").alias("b"), F.col("y.text_key").alias("kb")).distinct()
 
 
-def _block_pairs(rows: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
-    """Distinct pairs of sets of one token but different classes that pass all filters.
+def _block_pairs(rows: DataFrame, done: DataFrame, sets: DataFrame, like: Likeness, tasks: int) -> DataFrame:
+    """Distinct pairs of sets of one token but different classes that pass all filters, without
+    the pairs ``done`` that another token has had compared.
 
-    Only tokens are taken that have more sets than the star rounds have compared in full, and
-    not all in one class. A token's rows are dealt into blocks of about BLOCK rows, and each pair
+    ``rows``: the sets of tokens but their centers; only tokens are taken whose sets are not all
+    in one class. A token's rows are dealt into blocks of about BLOCK rows, and each pair
     of blocks is a group; a row goes to as many groups as its token has blocks.
     """
-    rows = rows.where(F.col("size") > CENTERS + 1)
     open_ = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where(F.col("lo") != F.col("hi")).select("token")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    open_rows = stored(rows.join(open_, "token").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("digest"), "blocks").cast("int")), "open")
-    here = open_rows.join(among(sets.select("digest", "parts"), open_rows.select("digest")), "digest")
+    dealt = rows.join(open_, "token").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("digest"), "blocks").cast("int"))
+    open_rows = stored(dealt, "open", tasks)
+    here = open_rows.join(sets.select("digest", "parts").where(among_digests(open_rows)), "digest")
     dealt = here.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "text_key", "n", "pos", "root", "parts"
     )
@@ -402,7 +429,8 @@ def _block_pairs(rows: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
         a, ka, b, kb = zip(*out, strict=True) if out else ((), (), (), ())
         return pa.table({"a": pa.array(a, pa.binary()), "ka": pa.array(ka, pa.int64()), "b": pa.array(b, pa.binary()), "kb": pa.array(kb, pa.int64())})
 
-    out = stored(dealt.groupBy("token", "i", "j").applyInArrow(run, "a binary, ka long, b binary, kb long").distinct(), "pairs")
+    found = dealt.groupBy("token", "i", "j").applyInArrow(run, "a binary, ka long, b binary, kb long").distinct()
+    out = stored(found.join(done.select("a", "b"), ["a", "b"], "left_anti").select("a", "ka", "b", "kb"), "pairs", tasks)
     discard(open_rows)
     return out
 
@@ -426,20 +454,28 @@ def near_duplicates(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col
     ship(docs.sparkSession)
     like = Likeness(least_percent)
     rows = stored(profiles(docs, k, like, rarity(docs, k, text_col), id_col, text_col), "profiles")
-    first = [F.first(c).alias(c) for c in ("n", "prefix", "parts")]
-    sets = stored(rows.where("prefix is not null").groupBy("digest").agg(*first, F.min("text_key").alias("text_key")), "sets")
+    total = rows.count()
+    sets = stored(distinct_sets(rows), "sets", tasks_for(total, SET_ROWS))
+    plain = stored(rows.select("id", "row_key", "row_proof", "n", "digest"), "plain", tasks_for(total))
+    discard(rows)
     shared = shared_prefixes(sets)
+    tasks = tasks_for(CENTERS * shared.count())
     classes = Classes()
     classes.add(_home_links(shared, docs, k, text_col, like))
-    classes.add(verified(_star_pairs(classes.of(shared, "digest"), like), sets, docs, k, text_col, like))
-    classes.add(verified(_block_pairs(classes.of(shared, "digest"), sets, like), sets, docs, k, text_col, like))
-    plain = rows.select("id", "row_key", "row_proof", "n", "digest")
+    pairs = stored(_star_pairs(shared, like), "pairs", tasks)
+    open_pairs = stored(_unlike(pairs, classes), "pairs", tasks)
+    classes.add(verified(open_pairs, sets, docs, k, text_col, like))
+    # the centers of a token have been compared with all its sets
+    center = (F.col("digest") == F.col("lo.digest")) | (F.col("digest") == F.col("hi.digest"))
+    others = shared.where((F.col("size") > CENTERS + 1) & ~center).select("token", "size", "digest", "text_key", "n", "pos")
+    classes.add(verified(_block_pairs(classes.of(others, "digest"), pairs, sets, like, tasks), sets, docs, k, text_col, like))
+    discard(pairs)
     out = classes.of(plain, "digest")
     # a class of one set has a link with nothing, but its copies share a component all the same
-    smallest = stored(out.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id")), "smallest")
+    smallest = stored(out.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id")), "smallest", tasks_for(total))
     out = out.join(smallest, "root", "left").select("id", "row_key", "row_proof", "n", "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
-    out = stored(out, "components")
-    discard(rows, sets, shared, smallest, *classes.files())
+    out = stored(out, "components", tasks_for(total, 2 * SET_ROWS))
+    discard(plain, sets, shared, smallest, *classes.files())
     return out
 
 
@@ -458,11 +494,9 @@ def keep_smallest(docs: DataFrame, k: int = 5, least_percent: int = 80, id_col:
     gone = found.join(best, keys, "left_anti").select("row_key").unionByName(found.groupBy(*keys).count().where("count > 1").select("row_key"))
     bits = docs.sparkSession.sparkContext.broadcast(key_filter(gone.distinct(), "row_key"))
 
-    @F.pandas_udf("boolean")
-    def suspect(x):  # noqa: ANN001, ANN202
-        import pandas as pd
-
-        return pd.Series(_passes(np.frombuffer(bits.value, np.uint8), x.to_numpy()))
+    @F.arrow_udf("boolean")
+    def suspect(x: pa.Array) -> pa.Array:
+        return pa.array(_passes(np.frombuffer(bits.value, np.uint8), x.to_numpy(zero_copy_only=False)))
 
     worded = F.coalesce(F.rlike(text_col, F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
     own = docs.withColumns(dict(zip(("__row_key", "__row_proof"), row_keys(id_col, text_col, *keys), strict=True))).withColumn("__look", worded & suspect("__row_key"))
