@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .registry import both, connection, register
@@ -86,3 +88,36 @@ def sql_explain(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("SELECT count(*) AS n FROM nation")
 def sql_read_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return connection(spark, sf_dir).sql(f"SELECT count(*) AS n FROM read_parquet(['{sf_dir}/nation.parquet'])").dataframe
+
+
+@register("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 2 AND n_nationkey > 5")
+def sql_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    con = connection(spark, sf_dir)
+    con.execute("PREPARE found AS SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = $1 AND n_nationkey > $2")
+    return con.sql("EXECUTE found(2, 5)").dataframe
+
+
+@register("SELECT r_regionkey * 2 AS twice, r_name FROM region")
+def sql_insert_returning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    con, name = connection(spark, sf_dir), f"returned_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} (r_regionkey INT, r_name STRING) USING parquet")
+    try:
+        rows = con.sql(f"INSERT INTO {name} SELECT r_regionkey, r_name FROM region RETURNING CAST(r_regionkey * 2 AS INTEGER) AS twice, r_name").fetchall()
+        return spark.createDataFrame(rows if con.table(name).shape[0] == len(rows) else [], "twice int, r_name string")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+@register("SELECT * FROM (VALUES (1, 'x'), (1, 'x'), (1, 'x')) v(column0, column1)")
+def sql_repeat_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return connection(spark, sf_dir).sql("SELECT * FROM repeat_row(1, 'x', num_rows := 3)").dataframe
+
+
+@register("SELECT true AS same, true AS inside")
+def sql_setseed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    con = connection(spark, sf_dir)
+    drawn = []
+    for _ in range(2):
+        con.execute("SELECT setseed(0.3)")
+        drawn.append([r for (r,) in con.sql("SELECT random() AS r FROM range(5)").fetchall()])
+    return spark.createDataFrame([(drawn[0] == drawn[1], all(0 <= r < 1 for r in drawn[0]))], "same boolean, inside boolean")

@@ -62,6 +62,7 @@ class Context:
     frames: dict[str, DataFrame] = field(default_factory=dict)
     names_id: bool = False  # the statement names a column id, as Spark's range gives it
     shown: Callable[[str], DataFrame] | None = None  # the result of a DESCRIBE or SUMMARIZE
+    seed: int | None = None  # of random()
 
 
 def parse(parts: list[Token]) -> list[Node]:
@@ -109,15 +110,15 @@ def _next(nodes: list[Node], i: int) -> int:
     return i
 
 
-def rewrite(sql: str, spark: SparkSession | None = None, frames: dict[str, DataFrame] | None = None, shown: Callable[[str], DataFrame] | None = None) -> str:
+def rewrite(sql: str, spark: SparkSession | None = None, frames: dict[str, DataFrame] | None = None, shown: Callable[[str], DataFrame] | None = None, seed: int | None = None) -> str:
     """Spark SQL for one statement or expression of the dialect.
 
     ``spark`` finds the values of a PIVOT and the columns of a REPLACE; ``frames`` takes the
     tables that readers in FROM stand for, by the name they get in the text; ``shown`` runs a
-    DESCRIBE or SUMMARIZE in FROM.
+    DESCRIBE or SUMMARIZE in FROM; ``seed`` is that of ``random()``.
     """
     parts = tokens(sql.strip().rstrip(";"))
-    context = Context(spark, {} if frames is None else frames, any(t.word == "ID" for t in parts), shown)
+    context = Context(spark, {} if frames is None else frames, any(t.word == "ID" for t in parts), shown, seed)
     return _level(parse(parts), context)
 
 
@@ -382,6 +383,8 @@ def _call(nodes: list[Node], i: int, context: Context) -> tuple[int, Node]:
         else:
             args.append(_inside(a, context))
     keys = [_key(p, context) for p in _split(order)]
+    if name == "random" and not args and context.seed is not None:
+        args = [str(context.seed)]
     call = Call(name, args, distinct, keys, filter_, tail, named)
     if name in AGGREGATES:
         return i, Token("expr", AGGREGATES[name](call))
@@ -494,6 +497,11 @@ def _table_function(nodes: list[Node], i: int, context: Context) -> tuple[int, N
             else:
                 path = _value(a)
         return i, Token("expr", _read(_READERS[name], path, options, context))
+    if name == "repeat_row":
+        *values, last = _split(items)
+        at = next(j for j, n in enumerate(last) if n.text in (":=", "=", "=>"))
+        row = ", ".join(f"{_inside(v, context)} AS column{k}" for k, v in enumerate(values))
+        return i, Token("expr", f"(SELECT {row} FROM range({_inside(last[at + 1 :], context)}))")
     args = [_inside(p, context) for p in _split(items)]
     if name == "unnest":
         return i, Token("expr", f"(SELECT explode({args[0]}) AS unnest)")
@@ -506,6 +514,14 @@ def _table_function(nodes: list[Node], i: int, context: Context) -> tuple[int, N
     return i, Token("expr", f"{name}({', '.join(args)})")
 
 
+def arguments(text_: str) -> list | dict:
+    """The literals of an argument list, by position or, all of them, by name."""
+    items = [_solid(p) for p in _split(parse(tokens(text_)))]
+    if items and all(len(p) > 2 and p[1].text in (":=", "=>") for p in items):
+        return {p[0].text: _value(p[2:]) for p in items}
+    return [_value(p) for p in items]
+
+
 def _value(nodes: list[Node]) -> object:
     """A literal in Python: text, number, truth, list or map."""
     flat = _solid(nodes)

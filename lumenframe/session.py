@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import types as _types
 from . import udf as _udf
-from .plans.dialect import marked, parameter_order, quoted, rewrite
+from .plans.dialect import arguments, marked, parameter_order, quoted, rewrite
 from .plans.lexer import find_top, solid, statements, tokens
 from .relation import Relation
 from .sources import interchange, readers, writers
+from .sources.paths import scratch
 
 
 class Connection:
@@ -26,6 +27,8 @@ class Connection:
         self._functions: dict[str, Any] = {}
         self._options = {"python_enable_replacements": True, "python_scan_all_frames": False}
         self._profiling = False
+        self._statements: dict[str, str] = {}
+        self._seed: int | None = None
 
     # ------------------------------------------------------------------ sessions
 
@@ -95,6 +98,13 @@ class Connection:
             return done
         if words[0] == "COPY":
             return self._copied(sql)
+        if words[0] in ("PREPARE", "EXECUTE", "DEALLOCATE"):
+            return self._prepared(sql, words[0], depth)
+        if words[0] == "INSERT" and (at := find_top(parts, "RETURNING")) >= 0:
+            return self._inserted(parts, at, params, depth)
+        if m := re.fullmatch(r"(?is)\s*select\s+setseed\s*\(\s*(-?[\d.]+)\s*\)\s*", sql):
+            self._seed = int(float(m[1]) * (1 << 31))
+            return Relation(self.spark.sql("SELECT CAST(NULL AS STRING) AS setseed"), sql=sql)
         args = None
         if params is not None:
             order = parameter_order(sql)
@@ -103,7 +113,7 @@ class Connection:
         if words[0] in ("SUMMARIZE", "DESCRIBE", "DESC", "EXPLAIN"):
             return self._shown(parts, args, depth + 1)
         frames: dict[str, DataFrame] = {}
-        text_ = rewrite(sql, self.spark, frames, lambda q: self._shown(tokens(q), None, depth + 2).dataframe)
+        text_ = rewrite(sql, self.spark, frames, lambda q: self._shown(tokens(q), None, depth + 2).dataframe, self._seed)
         for name, frame in frames.items():  # readers in FROM, known by these names while Spark reads the text
             frame.createOrReplaceTempView(name)
         if self._options["python_enable_replacements"]:
@@ -114,6 +124,41 @@ class Connection:
                 self.spark.catalog.dropTempView(name)
         return Relation(df, sql=sql)
 
+    def _prepared(self, sql: str, verb: str, depth: int) -> Relation:
+        """PREPARE name AS statement; EXECUTE name(literals); DEALLOCATE name."""
+        nothing = Relation(self.spark.sql("SELECT 1 AS x WHERE false").drop("x"))
+        if verb == "PREPARE":
+            m = re.fullmatch(r"(?is)\s*prepare\s+(\w+)\s+as\s+(.*)", sql)
+            self._statements[m[1].lower()] = m[2]
+            return nothing
+        m = re.fullmatch(r"(?is)\s*(?:execute|deallocate)\s+(\w+)\s*(?:\((.*)\))?\s*", sql)
+        if m is None or m[1].lower() not in self._statements:
+            raise ValueError(f"no prepared statement: {sql}")
+        if verb == "DEALLOCATE":
+            del self._statements[m[1].lower()]
+            return nothing
+        return self._one(self._statements[m[1].lower()], arguments(m[2]) if m[2] else None, depth + 1)
+
+    def _inserted(self, parts: list, at: int, params: Any, depth: int) -> Relation:
+        """INSERT ... RETURNING: the rows are written once, inserted, and given back."""
+        from pyspark.sql import functions as F
+
+        from .plans.lexer import text
+
+        m = re.fullmatch(r"(?is)\s*insert\s+into\s+([\w.`\"]+)\s*(?:\(([^()]*)\))?\s*((?:values|select|with|from)\b.*)", text(parts[:at]))
+        if not m:
+            raise ValueError(f"can't read: {text(parts)}")
+        schema = self.spark.table(m[1]).schema
+        names = [c.strip().strip('"`') for c in m[2].split(",")] if m[2] else schema.names
+        rows = self._one(m[3], params, depth + 1).dataframe.toDF(*names)
+        own = {n.lower(): n for n in names}
+        rows = rows.select(*[(F.col(quoted(own[f.name.lower()])) if f.name.lower() in own else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+        path = scratch(self.spark, "insert")
+        rows.write.parquet(path)
+        rows = self.spark.read.schema(schema).parquet(path)
+        rows.write.insertInto(m[1])
+        return Relation(rows).project(text(parts[at + 1 :]).strip())
+
     def _shown(self, parts: list, args: Any, depth: int) -> Relation:
         """DESCRIBE and SUMMARIZE of a table or query, and EXPLAIN, as relations."""
         from .plans.lexer import text

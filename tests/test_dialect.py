@@ -90,3 +90,32 @@ def test_explain(con):
     key, plan = con.sql("explain analyze select k from t where k > 1").fetchone()
     assert key == "analyzed_plan" and plan.startswith("3 rows")
     assert con.sql("explain select k from t").fetchone()[0] == "physical_plan"
+
+
+def test_prepared_statements(con):
+    con.execute("prepare p as select k from t where k >= $1 and s = $2")
+    assert con.execute("execute p(2, 'a')").fetchall() == [(3,)]
+    con.execute("prepare q as select count(*) from t where k = $n")
+    assert con.execute("execute q(n := 3)").fetchall() == [(2,)]
+    con.execute("deallocate p")
+    with pytest.raises(ValueError, match="prepared"):
+        con.execute("execute p(1, 'a')")
+
+
+def test_insert_returning(con):
+    con.execute("drop table if exists ret")
+    con.execute("create table ret (a int, b string) using parquet")
+    try:
+        assert sorted(con.sql("insert into ret (b) select s from t where k = 3 returning b, a is null as n").fetchall()) == [("a", True), ("c", True)]
+        assert con.sql("insert into ret values (1, 'x') returning *").fetchall() == [(1, "x")]
+        assert con.sql("select count(*) from ret").fetchall() == [(3,)]
+    finally:
+        con.execute("drop table ret")
+
+
+def test_seed_and_repeated_rows(con):
+    con.execute("select setseed(0.25)")
+    first = con.sql("select random() as r from range(3)").fetchall()
+    con.execute("select setseed(0.25)")
+    assert con.sql("select random() as r from range(3)").fetchall() == first
+    assert con.sql("select * from repeat_row(1, 'x', num_rows := 2)").fetchall() == [(1, "x")] * 2
