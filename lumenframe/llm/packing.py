@@ -245,8 +245,10 @@ def pack(
 
     Null text and empty text are one piece with ``end_id`` alone. Repeated rows are packed each.
     An empty table gives an empty result. ``tokenizer_path`` must exist on the executors.
-    ``capacity`` must be a power of two, at most 2**16 ids of under 2**16.
+    ``capacity`` must be a power of two up to 2**16 and ids must be under 2**16, else ValueError.
     """
+    if capacity < 1 or capacity & (capacity - 1) or capacity > 1 << 16:
+        raise ValueError("capacity must be a power of two up to 2**16")
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     schema = T.StructType(
@@ -266,7 +268,7 @@ def pack(
                 for start in range(0, n, capacity):
                     length = min(capacity, n - start)
                     piece = ids[4 * start : 4 * (start + length)]
-                    kept = None if length == capacity else np.frombuffer(piece, "<u4").astype("<u2").tobytes()
+                    kept = None if length == capacity else _narrow(piece)
                     for col, x in zip(rows, (i, start, length, zlib.crc32(piece), n, seen[length], kept), strict=True):
                         col.append(x)
                     seen[length] += 1
@@ -315,6 +317,14 @@ def pack(
     return whole.select(*names).unionByName(cut.select(*names))
 
 
+def _narrow(piece: bytes) -> bytes:
+    """Little-endian 32-bit integers as 16-bit ones."""
+    ids = np.frombuffer(piece, "<u4")
+    if len(ids) and ids.max() >= 1 << 16:
+        raise ValueError("an id of 2**16 or more")
+    return ids.astype("<u2").tobytes()
+
+
 def _wide(ids):  # noqa: ANN001, ANN202
     """Little-endian 16-bit integers as 32-bit ones."""
     return F.unhex(F.regexp_replace(F.hex(ids), "(.{4})", "$10000"))

@@ -111,3 +111,12 @@ def test_many_lengths_have_few_patterns():
     patterns = packing.plan_windows(counts, 2048)
     assert len(patterns) < 20_000
     assert sum(p.total * p.times for p in patterns) == sum(n * k for n, k in counts.items())
+
+
+def test_limits(no_docs):
+    for capacity in (0, 3, 1000, 1 << 17):
+        with pytest.raises(ValueError, match="power of two"):
+            packing.pack(no_docs, "none", capacity=capacity)
+    assert packing._narrow(np.array([1, 65535], "<u4").tobytes()) == np.array([1, 65535], "<u2").tobytes()
+    with pytest.raises(ValueError, match="id"):
+        packing._narrow(np.array([1, 65536], "<u4").tobytes())
