@@ -450,8 +450,26 @@ class Relation:
     fetch_arrow_table = arrow_table = to_arrow_table
 
     def to_arrow_reader(self, batch_size: int = 1_000_000) -> pa.RecordBatchReader:
-        table = self.to_arrow_table()
-        return pa.RecordBatchReader.from_batches(table.schema, table.to_batches(max_chunksize=batch_size))
+        """The rows as they are read: the driver holds one partition at a time."""
+
+        def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, b.schema) as out:
+                    out.write_batch(b)
+                yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["data"])
+
+        def unpacked() -> Iterator[pa.RecordBatch]:
+            for row in self.dataframe.mapInArrow(packed, "data binary").toLocalIterator(prefetchPartitions=True):
+                for b in pa.ipc.open_stream(row.data):
+                    for i in range(0, b.num_rows, batch_size):
+                        yield b.slice(i, batch_size)
+
+        batches = unpacked()
+        first = next(batches, None)
+        if first is None:
+            return self.dataframe.limit(0).toArrow().to_reader()
+        return pa.RecordBatchReader.from_batches(first.schema, itertools.chain([first], batches))
 
     fetch_record_batch = fetch_arrow_reader = arrow = record_batch = to_arrow_reader
 
