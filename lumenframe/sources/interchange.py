@@ -22,6 +22,8 @@ def from_object(spark: SparkSession, x: Any) -> DataFrame:
         return from_pandas(spark, x)
     if isinstance(x, (np.ndarray, dict)) or _is_arrays(x):
         return from_numpy(spark, x)
+    if isinstance(x, ds.FileSystemDataset) and (files := _files_of(spark, x)) is not None:
+        return files
     if (table := arrow_table(x)) is not None:
         return spark.createDataFrame(table)
     raise TypeError(f"can't read a {type(x).__name__}")
@@ -39,6 +41,16 @@ def _is_arrays(x: Any) -> bool:
     return isinstance(x, (list, tuple)) and bool(x) and all(isinstance(v, np.ndarray) for v in x)
 
 
+def _files_of(spark: SparkSession, x: ds.FileSystemDataset) -> DataFrame | None:
+    """A dataset of local Parquet or ORC files as Spark's own scan of them, with pruning and
+    pushdown; None for others, and where columns come from folder names."""
+    kind = {"parquet": "parquet", "orc": "orc"}.get(x.format.default_extname)
+    if kind is None or x.filesystem.type_name != "local" or not x.files:
+        return None
+    df = spark.read.format(kind).load([f"file://{f}" for f in x.files])
+    return df.select(*[f"`{n}`" for n in x.schema.names]) if set(x.schema.names) <= set(df.columns) else None
+
+
 def arrow_table(x: Any) -> pa.Table | None:
     if isinstance(x, pa.Table):
         return x

@@ -69,6 +69,20 @@ def test_objects_by_name(con):
         con.sql("select * from frame2")
 
 
+def test_arrow_datasets(con, tmp_path):
+    """Parquet datasets become Spark scans; others are read as they are."""
+    import pyarrow.dataset as ds
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"k": [1, 2], "v": ["a", None]}), tmp_path / "a.parquet")
+    files = ds.dataset(tmp_path / "a.parquet")
+    assert rows(con.sql("select v, k from files where k > 1")) == [(None, 2)]
+    assert "Scan parquet" in con.from_arrow(files).filter("k > 1").explain()
+    (tmp_path / "b.csv").write_text("k\n7\n")
+    assert rows(con.from_arrow(ds.dataset(tmp_path / "b.csv", format="csv"))) == [(7,)]
+    assert rows(con.from_arrow(files.scanner(columns=["k"]))) == [(1,), (2,)]
+
+
 def test_tables(con):
     con.execute("drop table if exists tab")
     con.values((1, "a"), (2, "b")).project("cast(col0 as int) as k, col1 as v").create("tab")
