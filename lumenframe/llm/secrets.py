@@ -8,8 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: Alternatives that a rule's trigram query may have; beyond that, literal runs are cut.
 MAX_CLAUSES = 64
+#: Bits of the fixed-size filter that stands for the candidates' keys.
+FILTER_BITS = 24
 
 
 @dataclass(frozen=True)
@@ -139,48 +143,86 @@ def _any(tests: list[Column]) -> Column:
     return out
 
 
+def _key_filter(keys: DataFrame) -> DataFrame:
+    """(slice, bits): a bit for each key among 2**FILTER_BITS, in slices of 4096 bytes."""
+    at = F.pmod("key", F.lit(1 << FILTER_BITS))
+    rows = keys.select(F.floor(at / 32768).cast("int").alias("slice"), F.pmod(at, F.lit(32768)).alias("bit"))
+    return rows.groupBy("slice").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def _bit_set(bits: Column, key: Column) -> Column:
+    at = F.pmod(key, F.lit(32768))
+    byte = F.conv(F.hex(F.substring(bits, F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return byte.bitwiseAND(F.expr("shiftleft(1, cast(pmod(key, 8) as int))")) > 0
+
+
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: id, spans (array of start, rule, end), in the order of start, rule, end.
 
     ``rule`` is the index in ``rules``; offsets are code points, the end exclusive. Rules with
     a trigram query are verified only on the index's candidates; the others scan every text.
     Null text is empty and has no spans. Repeated rows each get their spans. Extra columns are
-    not read. Equal texts are one key: the join's large side may be skewed there, which Spark
-    splits, and its small side has one row per key.
+    not read. The candidates' keys become a filter of fixed size (2**FILTER_BITS bits, sent to
+    every task); only texts that pass it move, to the exact join with the candidates, whose
+    small side has one row per key, so that Spark splits a hot key's large side.
     """
     asked = {r.kind: q for r in rules if (q := trigram_query(r.pattern))}
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    if asked:
-        index = build_index(rows, sorted(set().union(*(c for q in asked.values() for c in q))))
-        rows = rows.withColumn("key", F.xxhash64("text")).join(candidates(index, asked).hint("shuffle_hash"), "key", "left")
-    else:
-        rows = rows.withColumn("kinds", F.lit(None).cast("array<string>"))
-    for k, r in enumerate(rules):
+    none = F.lit(None).cast("array<string>")
+    if not asked:
+        return _found(rows.withColumn("kinds", none), rules, asked)
+    index = build_index(rows, sorted(set().union(*(c for q in asked.values() for c in q))))
+    found = stored(candidates(index, asked), "candidates")
+    keyed = rows.withColumn("key", F.xxhash64("text"))
+    keyed = keyed.withColumn("slice", F.floor(F.pmod("key", F.lit(1 << FILTER_BITS)) / 32768).cast("int"))
+    keyed = keyed.join(F.broadcast(_key_filter(found)), "slice", "left").withColumn("maybe", F.coalesce(_bit_set(F.col("bits"), F.col("key")), F.lit(False)))
+    keyed = keyed.select("id", "text", "key", "maybe")
+    some = keyed.where("maybe").join(found.hint("shuffle_hash"), "key", "left").select("id", "text", "kinds")
+    return _found(some, rules, asked).unionByName(_found(keyed.where("not maybe").select("id", "text", none.alias("kinds")), rules, {}, skip=set(asked)))
+
+
+def _found(rows: DataFrame, rules: tuple[Rule, ...], asked: dict, skip: set | frozenset = frozenset()) -> DataFrame:
+    """(id, spans) of rows (id, text, kinds); ``skip``: kinds that these texts can't hold."""
+    used = [(k, r) for k, r in enumerate(rules) if r.kind not in skip]
+    for k, r in used:
         every = F.regexp_extract_all("text", F.lit(r.pattern), F.lit(0))
         test = F.coalesce(F.array_contains("kinds", r.kind), F.lit(False)) if r.kind in asked else F.rlike("text", F.lit(r.pattern))
         rows = rows.withColumn(f"m{k}", F.when(test, every))
-    return rows.select("id", F.array_sort(F.concat(*[_spans(k, r) for k, r in enumerate(rules)])).alias("spans"))
+    spans = F.concat(*[_spans(k, r) for k, r in used]) if used else F.array().cast(_SPAN)
+    return rows.select("id", F.array_sort(spans).alias("spans"))
 
 
 _SPAN = "array<struct<start:int,rule:int,end:int>>"
 
 
+#: Hits whose spans are summed up one after the other; arrays grow by copying, so many hits are
+#: summed by blocks, and then the blocks.
+BLOCK = 128
+
+
 def _spans(k: int, rule: Rule) -> Column:
     """Spans of the matches in column m<k>: each begins after the texts between and before."""
     found = F.col(f"m{k}")
     between = F.split("text", rule.pattern)
     values = F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(rule.group)) if rule.group else found
     parts = F.arrays_zip(F.slice(between, F.lit(1), F.size(found)).alias("gap"), found.alias("hit"), values.alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+    parts = F.transform(parts, lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"), (F.length(x["value"]) >= rule.least).alias("ok")))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / BLOCK).cast("int")), lambda i: F.slice(parts, i * BLOCK + 1, BLOCK))
+    total = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, x: n + x["gap"] + x["hit"]))
+    begin = F.aggregate(
+        total, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+        lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"],
+    )
 
     def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.length(x["hit"])
-        span = F.array(F.struct(begin.alias("start"), F.lit(k).alias("rule"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(F.length(x["value"]) >= rule.least, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+        first = acc["at"] + x["gap"]
+        end = first + x["hit"]
+        span = F.array(F.struct(first.alias("start"), F.lit(k).alias("rule"), end.alias("end")))
+        return F.struct(end.alias("at"), F.when(x["ok"], F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
     none = F.array().cast(_SPAN)
-    return F.when(F.size(found) > 0, F.aggregate(parts, start, step, lambda acc: acc["out"])).otherwise(none)
+    each = F.transform(F.arrays_zip(blocks.alias("b"), begin.alias("at")), lambda x: F.aggregate(x["b"], F.struct(x["at"].alias("at"), none.alias("out")), step, lambda acc: acc["out"]))
+    return F.when(F.size(found) > 0, F.flatten(each)).otherwise(none)
 
 
 def joined_spans(spans: Column, rules: tuple[Rule, ...]) -> Column:
