@@ -55,7 +55,7 @@ both("sql_string_agg_ordered", f"SELECT k, string_agg(s ORDER BY s DESC) AS a, s
 both("sql_first_ordered", f"SELECT k, first(id ORDER BY x DESC, id DESC) AS f, last(id ORDER BY x, id) AS l, first(x ORDER BY id) AS g, last(s ORDER BY s NULLS FIRST) AS h FROM {T} GROUP BY k")
 both("sql_any_value", f"SELECT y IS NULL AS g, any_value(k ORDER BY k) AS a FROM (SELECT nullif(r_regionkey, 3) AS k, nullif(r_regionkey, 3) AS y FROM region WHERE r_regionkey IN (2, 3)) GROUP BY y IS NULL")
 both("sql_histogram", f"SELECT k, map_keys(histogram(x)) AS a, CAST(map_values(histogram(x)) AS BIGINT[]) AS b FROM {T} GROUP BY k")
-both("sql_quantiles", f"SELECT quantile_disc(x, 0.3) AS a, quantile_cont(x, 0.3) AS b, median(x) AS c, quantile_disc(x, [0.25, 0.75]) AS d FROM {T}")
+both("sql_quantiles", f"SELECT quantile_disc(x, 0.3)::INTEGER AS a, quantile_cont(x, 0.3) AS b, median(x) AS c, quantile_disc(x, [0.25, 0.75])::INTEGER[] AS d FROM {T}")
 both("sql_moments", f"SELECT round(skewness(x), 6) AS a, round(kurtosis(x), 6) AS b, round(product(y + 1), 3) AS c, round(geomean(y + 1), 6) AS d FROM {T}")
 both("sql_arg_max", f"SELECT k, arg_max(s, id) AS a, arg_min(s, id) AS b, max(id, 2) AS c, min(id, 3) AS d FROM {T} GROUP BY k")
 both("sql_format", "SELECT n_nationkey, format('{} in {}', n_name, n_regionkey) AS f, printf('%d:%s', n_nationkey, n_name) AS p FROM nation")
