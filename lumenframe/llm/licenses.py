@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -129,13 +130,38 @@ RULES = (
     *(Rule(i.split(":")[1], (i,)) for i in references()),
 )
 
-_TOKEN = re.compile(r"[a-z0-9]+")
+_TOKEN = re.compile(r"[A-Za-z0-9]+")
 _END = re.compile(r"[.;:!?]+(?=\s|\Z)|\n")
 
 
 def normal(sentence: str) -> str:
     """Lower-cased runs of ASCII letters and digits, one space between."""
-    return " ".join(_TOKEN.findall(sentence.lower()))
+    return " ".join(_TOKEN.findall(sentence)).lower()
+
+
+def _hints(sentences: list[str]) -> list[str]:
+    """A few words of which each sentence holds one, so a text without any can be passed over.
+
+    The word that most sentences have first; words under five letters only where there is no other.
+    """
+    holders: dict[str, set[int]] = {}
+    for i, s in enumerate(sentences):
+        words = s.split(" ")
+        for w in [w for w in words if len(w) >= 5] or [max(words, key=len)]:
+            holders.setdefault(w, set()).add(i)
+    out: list[str] = []
+    left = set(range(len(sentences)))
+    while left:
+        best = max(sorted(holders), key=lambda w: len(holders[w] & left))
+        out.append(best)
+        left -= holders.pop(best)
+    return [w for w in out if not any(o != w and o in w for o in out)]
+
+
+@functools.lru_cache(maxsize=4)
+def _recogniser(sentences: tuple, rules: tuple) -> Recogniser:
+    """One for each table of sentences in a process, as a worker has many tasks."""
+    return Recogniser(dict(sentences), rules)
 
 
 class Recogniser:
@@ -155,8 +181,7 @@ class Recogniser:
         self.rules: dict[str, list[Rule]] = {}
         for r in rules:
             self.rules.setdefault(r.ids[0], []).append(r)
-        # a known sentence holds one of these words, so a text without any can be passed over
-        self.hint = re.compile("|".join(sorted({max(s.split(" "), key=len) for s in norms if s})) or r"(?!)", re.IGNORECASE)
+        self.hints = _hints([s for s in norms if s])
 
     def sentences(self, text: str) -> list[tuple[int, int, str]]:
         """(start, end, identifier) of the known sentences, in order, none inside another.
@@ -170,16 +195,17 @@ class Recogniser:
             pieces.append((at, m.start()))
             at = m.end()
         pieces.append((at, len(text)))
-        words = [normal(text[a:b]).split() for a, b in pieces]
         out, i = [], 0
         while i < len(pieces):
-            found, node, j = None, self.tree if words[i] else None, i
+            first = _TOKEN.search(text, *pieces[i])
+            found, node, j = None, self.tree if first and first[0].lower() in self.tree else None, i
             while node is not None and j < len(pieces):
-                for w in words[j]:
+                words = normal(text[slice(*pieces[j])]).split()
+                for w in words:
                     node = node.get(w)
                     if node is None:
                         break
-                if node is not None and words[j] and None in node:
+                if node is not None and words and None in node:
                     found = (j, node[None])
                 j += 1
             if found:
@@ -192,7 +218,10 @@ class Recogniser:
 
     def find(self, text: str | None) -> list[tuple[str, int, int]]:
         """(licence, start, end) in order; offsets are code points, the end exclusive."""
-        if not text or not self.hint.search(text):
+        if not text:
+            return []
+        low = text.lower()
+        if not any(h in low for h in self.hints):
             return []
         known = self.sentences(text)
         ids = [x[2] for x in known]
@@ -219,7 +248,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", senten
     arrow = pa.list_(pa.struct([("licence", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Recogniser(sentences, rules)
+        own = _recogniser(tuple(sentences.items()), tuple(rules))
         for b in chunks(batches, "text"):
             rows = [[{"licence": x, "start": s, "end": e} for x, s, e in own.find(t)] for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(rows, arrow)], names=schema.names)
