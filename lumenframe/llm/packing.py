@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -171,13 +171,25 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(256 + rest.index(b)) for b in range(256)]
 
 
+class _Learned(dict):
+    """A dict that asks ``made`` for what it doesn't hold, and keeps it."""
+
+    def __init__(self, made: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.made = made
+
+    def __missing__(self, key: str) -> bytes:
+        out = self[key] = self.made(key)
+        return out
+
+
 class TokenBytes:
     """``ids``: piece -> its ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        self.ids: dict[str, bytes] = {}
+        self.ids = _Learned(self._ids)
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
@@ -197,14 +209,6 @@ class TokenBytes:
             return array("I", [x.id for x in self.model.tokenize(word)]).tobytes()
         return self._whole(piece)
 
-    def learn(self, pieces: set[str]) -> None:
-        new = [x for x in pieces if x not in self.ids]
-        if len(self.ids) + len(new) > MAX_PIECES:
-            self.ids.clear()
-            new = list(pieces)
-        for x in new:
-            self.ids[x] = self._ids(x)
-
 
 _LOADED: dict[str, TokenBytes] = {}
 
@@ -220,10 +224,10 @@ def encode(texts: list[str | None], path: str, end_id: int) -> Iterator[bytes]:
     """The ids of each text, then ``end_id``, as little-endian unsigned 32-bit integers."""
     known = _LOADED.get(path) or _LOADED.setdefault(path, TokenBytes(path))
     end = np.array([end_id], dtype="<u4").tobytes()
-    split = [pieces_of(t) if t else [] for t in texts]
-    known.learn(set().union(*split))
-    for pieces in split:
-        yield b"".join(map(known.ids.__getitem__, pieces)) + end
+    if len(known.ids) > MAX_PIECES:
+        known.ids.clear()
+    for t in texts:
+        yield b"".join(map(known.ids.__getitem__, pieces_of(t))) + end if t else end
 
 
 def pack(
